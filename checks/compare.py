@@ -58,9 +58,11 @@ def session(cpus: str = "8") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("checks")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

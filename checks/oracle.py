@@ -196,8 +196,9 @@ def _long_report(line_text: str) -> str:
     )
 
 
-COMPONENT_LINE = "concat('  line ', k.orl_sort_idx, ', part ', k.prt_no)"
-MULTIPLIER_LINE = "concat('  line ', k.orl_sort_idx, ', part ', k.prt_no, ': suggested quantity ', k.fixed_qty)"
+# ``||`` is null for a kit without lines, which then lists none.
+COMPONENT_LINE = "'  line ' || k.orl_sort_idx || ', part ' || k.prt_no"
+MULTIPLIER_LINE = "'  line ' || k.orl_sort_idx || ', part ' || k.prt_no || ': suggested quantity ' || k.fixed_qty"
 BLANKET_LISTING = """select ord_no, string_agg(concat('Part ', prt_no, ' in blanket order ', blanket_ord_no), chr(10) order by prt_no, blanket_ord_no) listing
  from blankets group by ord_no"""
 
@@ -379,11 +380,11 @@ def oracle_sql() -> dict[str, str]:
     report = "select ord_no, 1 page, 1 pages, listing report from (%s)"
     found["missing_component_report"] = _with(
         kits, f"kit_parents as ({KIT_PARENTS})", f"kit_lines as ({KIT_CHILDREN})",
-        report % _short_report("concat(k.orl_sort_idx, ':', k.prt_no)"),
+        report % _short_report("k.orl_sort_idx || ':' || k.prt_no"),
     )
     found["multiplier_report"] = _with(
         kits, f"kit_parents as ({KIT_PARENTS})", f"kit_lines as ({KIT_ERRORS})",
-        report % _short_report("concat(k.orl_sort_idx, ':', k.prt_no, '=', k.fixed_qty)"),
+        report % _short_report("k.orl_sort_idx || ':' || k.prt_no || '=' || k.fixed_qty"),
     )
     found["lookup_order_blankets"] = _with(
         ["order_line", "order_header", "client", "blanket_orders"], f"blankets as ({BLANKETS})",

@@ -57,10 +57,6 @@ def _rule(table: str, alert: str) -> Query:
     return _on_tables(lambda star, t: evaluate.evaluate(star.changes(table), table, t, [alert]))
 
 
-def all_alerts(star: StarTables, tables: Tables) -> DataFrame:
-    return pipeline.raise_alerts({name: star.changes(name) for name in CATALOGUE}, tables)
-
-
 def order_alerts(star: StarTables, tables: Tables) -> DataFrame:
     """The flagship: all sixteen order rules in one pass over the order changes."""
     return evaluate.evaluate(star.changes("order_header"), "order_header", tables)
@@ -179,12 +175,13 @@ def _alerts_of(star: StarTables, tables: Tables, table: str, *names: str) -> Dat
 
 def _enrich_orders(star: StarTables, tables: Tables) -> DataFrame:
     alerts = _alerts_of(star, tables, "order_header", "ORDER CANCELLED", "NEW BLANKET", "ZERO BANK FEES")
-    return enrich.enrich(alerts, tables).select("alert", "reference", "ord_no", "client_name")
+    return enrich.enrich(alerts, tables, {"ord_no"}).select("alert", "reference", "ord_no", "client_name")
 
 
 def _gate(table: str, alert: str) -> Query:
     def build(star: StarTables, tables: Tables) -> DataFrame:
-        gated = pipeline.passed_gates(_alerts_of(star, tables, table, alert), tables)
+        alerts = _alerts_of(star, tables, table, alert)
+        gated = pipeline.passed_gates(alerts, tables, *pipeline.kinds([alert]))
         return gated.select("reference", "change_seq", "disposition")
 
     return _on_tables(build)
@@ -193,9 +190,10 @@ def _gate(table: str, alert: str) -> Query:
 def _messages(table: str, *names: str, routing: outbox.Routing = ROUTING) -> Query:
     """Unsuppressed alerts through lookups, gates and rendering."""
     def build(star: StarTables, tables: Tables) -> DataFrame:
-        gated = pipeline.passed_gates(_alerts_of(star, tables, table, *names), tables)
+        found, refs = pipeline.kinds(list(names))
+        gated = pipeline.passed_gates(_alerts_of(star, tables, table, *names), tables, found, refs)
         passed = gated.filter(F.col("disposition") == suppress.ACCEPTED)
-        return _flat_messages(outbox.outbox(passed, tables, routing))
+        return _flat_messages(outbox.outbox(passed, tables, routing, names=found))
 
     return _on_tables(build)
 
@@ -205,7 +203,7 @@ def _flat_messages(messages: DataFrame) -> DataFrame:
 
 
 def _handled(star: StarTables, tables: Tables) -> pipeline.Outcome:
-    return pipeline.handle(all_alerts(star, tables), tables, ROUTING)
+    return pipeline.run({name: star.changes(name) for name in CATALOGUE}, tables, ROUTING)
 
 
 def _text_flags(star: StarTables, tables: Tables) -> DataFrame:

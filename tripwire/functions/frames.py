@@ -36,19 +36,37 @@ def one_row_per_key(df: DataFrame, key: str, attrs: list[str], order: str | None
     return best.select(key, *[F.col(f"best.{a}").alias(a) for a in attrs])
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. A
-    machine-local one is made only where the whole session is one process.
+    A machine-local one is made only where it is unset and the whole session is
+    one process, as in tests.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
+    folder = context.getCheckpointDir()
+    if folder is None:
         folder = context.getConf().get("spark.checkpoint.dir")
         if not folder:
             if not context.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="tripwire-checkpoint-")
         context.setCheckpointDir(folder)
+    return folder
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the checkpoint folder and go on from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table of this application in the shared folder and read it back.
+
+    Unlike a checkpoint the result has statistics, so Spark can weigh a
+    broadcast, and its columns and rows can be pruned at the scan.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

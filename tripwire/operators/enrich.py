@@ -93,12 +93,13 @@ def look_up(alerts: DataFrame, tables: Tables, *lookups: Lookup) -> DataFrame:
     return reduce(lambda df, lookup: lookup(df, tables), lookups, alerts)
 
 
-def enrich(alerts: DataFrame, tables: Tables) -> DataFrame:
+def enrich(alerts: DataFrame, tables: Tables, refs: set[str] | None = None) -> DataFrame:
     """Adds the ``CONTEXT`` columns.
 
     Alerts part by kind of reference, so that no join sees the null keys of
     alerts it has nothing to say about. Callers hand in a written or
-    checkpointed table, since each kind reads it.
+    checkpointed table, since each kind reads it. ``refs`` names the kinds that
+    can occur, where the caller knows; others get no lookups.
     """
     def complete(df: DataFrame) -> DataFrame:
         have = df.columns
@@ -107,12 +108,13 @@ def enrich(alerts: DataFrame, tables: Tables) -> DataFrame:
         ])
 
     kind = F.col("ref_type")
+    chosen = {r: lookups for r, lookups in BY_REFERENCE.items() if refs is None or r in refs}
     parts = [
         complete(look_up(
             alerts.filter(kind == ref).withColumn(ref, F.col("reference").try_cast("long")),
             tables, *lookups,
         ))
-        for ref, lookups in BY_REFERENCE.items()
+        for ref, lookups in chosen.items()
     ]
-    rest = complete(alerts.filter(~F.coalesce(kind.isin(list(BY_REFERENCE)), F.lit(False))))
+    rest = complete(alerts.filter(~F.coalesce(kind.isin(list(chosen)), F.lit(False))))
     return reduce(DataFrame.union, parts, rest)

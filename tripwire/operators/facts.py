@@ -164,12 +164,13 @@ def missing_component_orders(tables: Tables) -> DataFrame:
     The lines under a kit line are counted against the size of the kit; kit
     contents are never multiplied out. A line without a part under the kit line
     leaves the answer unknown there, which raises nothing; a kit line with no
-    lines under it lacks everything.
+    lines under it lacks everything. Under one kit line a part counts once, so
+    no kit line brings more rows to a join than there are parts.
     """
     lines = tables["order_line"]
     kit_parts = tables["part_kit"].select(
         F.col("pkt_master_prt_id").alias("master"), F.col("prt_id").alias("under_prt_id")
-    ).distinct()
+    ).distinct().withColumn("in_kit", F.lit(True))
     parents = (
         lines.filter(F.col("orl_kitmaster_id") == 0)
         .select("ord_no", F.col("orl_id").alias("parent_id"), F.col("prt_id").alias("master"))
@@ -177,20 +178,18 @@ def missing_component_orders(tables: Tables) -> DataFrame:
     )
     under = lines.filter(F.col("orl_kitmaster_id") != 0).select(
         F.col("orl_kitmaster_id").alias("parent_id"), F.col("prt_id").alias("under_prt_id")
-    ).distinct()
-    present = (
-        under.join(parents.select("parent_id", "master"), "parent_id")
-        .join(kit_parts.withColumn("in_kit", F.lit(True)), ["master", "under_prt_id"], "left")
-        .groupBy("parent_id")
+    ).distinct().withColumn("is_line", F.lit(True))
+    return (
+        parents.join(under, "parent_id", "left")
+        .join(kit_parts, ["master", "under_prt_id"], "left")
+        .groupBy("parent_id", "ord_no", "components")
         .agg(
-            F.count_if(F.col("in_kit")).alias("present"),
-            any_true(F.col("under_prt_id").isNull()).alias("has_unknown"),
+            F.count("is_line").alias("lines_under"),
+            F.count("in_kit").alias("present"),
+            any_true(F.col("is_line") & F.col("under_prt_id").isNull()).alias("has_unknown"),
         )
-    )
-    return (
-        parents.join(present, "parent_id", "left")
         .filter(
-            F.col("present").isNull()
+            (F.col("lines_under") == 0)
             | (~F.col("has_unknown") & (F.col("present") < F.col("components")))
         )
         .select("ord_no").distinct()

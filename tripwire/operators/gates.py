@@ -53,8 +53,13 @@ def gate_multipliers(enriched: DataFrame, tables: Tables) -> DataFrame:
     )
 
 
-def gate(enriched: DataFrame, tables: Tables) -> DataFrame:
-    """Adds ``disposition``: accepted, gated or unhandled."""
+def gate(enriched: DataFrame, tables: Tables, names: set[str] | None = None) -> DataFrame:
+    """Adds ``disposition``: accepted, gated or unhandled.
+
+    ``names`` holds the alerts that can occur, where the caller knows.
+    """
+    if names is not None and MULTIPLIER not in names:
+        return gate_by_columns(enriched)
     is_multiplier = F.coalesce(F.col("alert") == MULTIPLIER, F.lit(False))
     return gate_by_columns(enriched.filter(~is_multiplier)).union(
         gate_multipliers(enriched.filter(is_multiplier), tables)

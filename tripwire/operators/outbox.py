@@ -159,15 +159,18 @@ LISTINGS = {
 }
 
 
-def with_listings(alerts: DataFrame, tables: Tables, page_rows: int = PAGE_ROWS) -> DataFrame:
+def with_listings(
+    alerts: DataFrame, tables: Tables, page_rows: int = PAGE_ROWS, names: set[str] | None = None
+) -> DataFrame:
     """Adds page, pages, listing and noun; an alert with a long list has a row per page."""
-    plain = alerts.filter(~F.col("alert").isin(list(LISTINGS))).withColumns({
+    listings = {a: build for a, build in LISTINGS.items() if names is None or a in names}
+    plain = alerts.filter(~F.col("alert").isin(list(listings))).withColumns({
         "page": F.lit(1), "pages": F.lit(1),
         "listing": F.lit(None).cast("string"), "noun": F.lit(None).cast("string"),
     })
-    for alert, listing in LISTINGS.items():
+    for alert, build in listings.items():
         own = alerts.filter(F.col("alert") == alert)
-        listed = own.join(listing(tables, own.select("ord_no"), page_rows), "ord_no", "left")
+        listed = own.join(build(tables, own.select("ord_no"), page_rows), "ord_no", "left")
         plain = plain.union(listed.select(
             *alerts.columns,
             F.coalesce("page", F.lit(1)).alias("page"), F.coalesce("pages", F.lit(1)).alias("pages"),
@@ -182,8 +185,11 @@ OUTBOX = [
 ]
 
 
-def outbox(accepted: DataFrame, tables: Tables, routing: Routing, page_rows: int = PAGE_ROWS) -> DataFrame:
+def outbox(
+    accepted: DataFrame, tables: Tables, routing: Routing,
+    page_rows: int = PAGE_ROWS, names: set[str] | None = None,
+) -> DataFrame:
     """One ready-to-send message per accepted alert, or per page of its list."""
     templates = F.broadcast(template_table(accepted.sparkSession))  # a row per template: 27
-    listed = with_listings(accepted, tables, page_rows).join(templates, "alert")
+    listed = with_listings(accepted, tables, page_rows, names).join(templates, "alert")
     return envelope(render(route(listed, routing)), routing).select(*OUTBOX)

@@ -11,9 +11,10 @@ from tripwire.functions.frames import checkpointed
 from tripwire.operators.enrich import enrich
 from tripwire.operators.gates import gate
 from tripwire.operators.outbox import Routing, outbox
-from tripwire.operators.payload import read_session
+from tripwire.operators.payload import parse_payload, read_session
 from tripwire.operators.suppress import ACCEPTED, last_logged, suppress
 from tripwire.plans.evaluate import evaluate_all
+from tripwire.plans.rules import CATALOGUE
 
 Tables = dict[str, DataFrame]
 
@@ -35,29 +36,45 @@ def raise_alerts(changes: dict[str, DataFrame], tables: Tables) -> DataFrame:
     return read_session(evaluate_all(changes, tables)).withColumnRenamed("commit_ts", "time_stamp")
 
 
-def passed_gates(logged: DataFrame, tables: Tables) -> DataFrame:
+def kinds(alerts: list[str] | None = None, tables: list[str] | None = None) -> tuple[set[str], set[str]]:
+    """The alerts that given rules or changed tables can raise, and their kinds of reference."""
+    rules = [
+        r for table, (found, _) in CATALOGUE.items() for r in found
+        if (tables is None or table in tables) and (alerts is None or r.alert in alerts)
+    ]
+    return {r.alert for r in rules}, {r.ref for r in rules}
+
+
+def passed_gates(
+    logged: DataFrame, tables: Tables, names: set[str] | None = None, refs: set[str] | None = None
+) -> DataFrame:
     """Enriched alerts with the disposition their gates give them."""
-    return checkpointed(gate(checkpointed(enrich(logged, tables)), tables))
+    return checkpointed(gate(checkpointed(enrich(logged, tables, refs)), tables, names))
 
 
-def handle(alerts: DataFrame, tables: Tables, routing: Routing, log: DataFrame | None = None) -> Outcome:
+def handle(
+    alerts: DataFrame, tables: Tables, routing: Routing, log: DataFrame | None = None,
+    names: set[str] | None = None, refs: set[str] | None = None,
+) -> Outcome:
     """Suppress, enrich, gate and render alerts.
 
     An alert is logged before the gates: a gated one still suppresses its
     repeats. The judged alerts are written once, as the log, the dispositions
-    and the messages all read them.
+    and the messages all read them. ``names`` and ``refs`` hold what can occur;
+    leave them out for alerts of unknown origin.
     """
     alerts = checkpointed(alerts.select(*ALERT_COLUMNS, "malformed"))
     unreadable = alerts.filter("malformed").drop("malformed").withColumn("disposition", F.lit(MALFORMED))
     seed = None if log is None else last_logged(log)
     judged = checkpointed(suppress(alerts.filter(~F.col("malformed")).drop("malformed"), seed=seed))
     logged = judged.filter(F.col("disposition") == ACCEPTED).drop("disposition")
-    gated = passed_gates(logged, tables)
+    gated = passed_gates(logged, tables, names, refs)
     refused = judged.filter(F.col("disposition") != ACCEPTED)
+    messages = outbox(gated.filter(F.col("disposition") == ACCEPTED), tables, routing, names=names)
     return Outcome(
         alerts=unreadable.unionByName(refused).unionByName(gated.select(*ALERT_COLUMNS, "disposition")),
         log=logged,
-        messages=outbox(gated.filter(F.col("disposition") == ACCEPTED), tables, routing),
+        messages=messages,
     )
 
 
@@ -65,4 +82,15 @@ def run(
     changes: dict[str, DataFrame], tables: Tables, routing: Routing, log: DataFrame | None = None
 ) -> Outcome:
     """The whole pipeline over change feeds and snapshots."""
-    return handle(raise_alerts(changes, tables), tables, routing, log)
+    names, refs = kinds(tables=list(changes))
+    return handle(raise_alerts(changes, tables), tables, routing, log, names, refs)
+
+
+def run_payloads(
+    payloads: DataFrame, tables: Tables, routing: Routing, log: DataFrame | None = None
+) -> Outcome:
+    """The pipeline from notification payloads: columns time_stamp and payload."""
+    alerts = parse_payload(payloads)
+    if "change_seq" not in alerts.columns:
+        alerts = alerts.withColumn("change_seq", F.lit(None).cast("long"))
+    return handle(alerts, tables, routing, log)

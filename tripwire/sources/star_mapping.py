@@ -9,10 +9,12 @@ and ``app_name`` describe the change.
 from __future__ import annotations
 
 from functools import reduce
+from hashlib import md5
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripwire.functions.frames import written
 from tripwire.sources.snapshots import normalise
 
 RAW = ["customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -145,27 +147,35 @@ def oracle_ctes(*names: str) -> str:
     )
 
 
+# Mapped tables of this process, by application, directory and name.
+_BUILT: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class StarTables:
-    """The mapped tables of one testdata directory, built on first use."""
+    """The mapped tables of one testdata directory.
+
+    Each is derived and written once per application, on first use, so that the
+    rules scan tables as they would in a warehouse.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self._flat: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def flat(self, name: str) -> DataFrame:
         """A mapped table with its change columns."""
-        if name not in self._flat:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _BUILT:
             deps, query = MAPPING[name]
             inputs = {d: self.flat(d) if d in MAPPING else self.raw(d) for d in deps}
             text = query.replace("//", " div ")
-            # longest first, so that "part" does not match inside "erp_part_kit"
             for dep in inputs:
                 text = _refer(text, dep)
-            self._flat[name] = self.spark.sql(text, **inputs)
-        return self._flat[name]
+            place = md5(self.sf_dir.encode()).hexdigest()
+            _BUILT[key] = written(self.spark.sql(text, **inputs), f"{place}/{name}")
+        return _BUILT[key]
 
     def snapshot(self, name: str) -> DataFrame:
         """A mapped table as the rules read it."""
