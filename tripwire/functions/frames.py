@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,31 @@ def one_row_per_key(df: DataFrame, key: str, attrs: list[str], order: str | None
     return best.select(key, *[F.col(f"best.{a}").alias(a) for a in attrs])
 
 
+def join_unique(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """Join a side whose keys may be hot to one with a single row per key.
+
+    At run time Spark splits a hot partition of a join only where both inputs
+    come straight out of a shuffle. A side that was just aggregated by the same
+    key would skip that shuffle, and the hot key would stay in one task. The
+    hash of the key as a second join key asks for the shuffle; it moves one row
+    per key. Sides small enough to broadcast are broadcast as ever.
+    """
+    keys = [on] if isinstance(on, str) else on
+    spread = F.xxhash64(*keys)
+    return left.withColumn("spread", spread).join(
+        right.withColumn("spread", spread), [*keys, "spread"], how
+    ).drop("spread")
+
+
+def merge_by_key(frames: list[DataFrame], keys: list[str]) -> DataFrame:
+    """One row per key with the columns of all frames, each unique by key."""
+    if len(frames) == 1:
+        return frames[0]
+    columns = list(dict.fromkeys(c for f in frames for c in f.columns if c not in keys))
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in columns])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwire.functions.frames import one_row_per_key
+from tripwire.functions.frames import join_unique, one_row_per_key
 
 Tables = dict[str, DataFrame]
 
@@ -37,7 +37,8 @@ class Lookup:
             F.col(self.key).alias("lookup_key"),
             *[F.col(column).alias(name) for name, column in self.attrs.items()],
         )
-        return alerts.join(renamed, F.col(self.source) == F.col("lookup_key"), "left").drop("lookup_key")
+        keyed = alerts.withColumn("lookup_key", F.col(self.source))
+        return join_unique(keyed, renamed, "lookup_key", "left").drop("lookup_key")
 
 
 ORDER_CLIENT = Lookup("ord_no", "order_header", "ord_no", {"cli_id": "cli_id"})

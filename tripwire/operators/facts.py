@@ -17,6 +17,7 @@ from tripwire.functions.columns import (
     has_part,
     is_live,
 )
+from tripwire.functions.frames import join_unique
 from tripwire.operators.kits import kit_sizes
 
 Tables = dict[str, DataFrame]
@@ -73,8 +74,7 @@ def part_facts(tables: Tables) -> DataFrame:
         .agg(any_true(F.col("asv")).alias("asv"), any_true(F.col("truck")).alias("truck"))
     )
     return (
-        tables["order_line"].select("ord_no", "prt_no")
-        .join(flags, "prt_no")
+        join_unique(tables["order_line"].select("ord_no", "prt_no"), flags, "prt_no")
         .groupBy("ord_no")
         .agg(
             any_true(F.col("asv")).alias("needs_accessory"),
@@ -117,7 +117,7 @@ def short_lead_orders(
 
 
 def blanket_part_orders(tables: Tables, blanket_live_only: bool = True) -> DataFrame:
-    """Plain orders with a part that another, blanket order of the client holds.
+    """Plain orders, and their client, with a part that another, blanket order of the client holds.
 
     "Another order" needs no pairing of orders: per client and part the lowest
     and highest blanket number tell whether one differs from the order's own.
@@ -136,11 +136,9 @@ def blanket_part_orders(tables: Tables, blanket_live_only: bool = True) -> DataF
     )
     orders = header.filter(F.col("ord_type") == ORDER_TYPE_ORDER).select("ord_no", "cli_id")
     return (
-        named.join(orders, "ord_no")
-        .join(held, ["cli_id", "prt_no"])
+        join_unique(named.join(orders, "ord_no"), held, ["cli_id", "prt_no"])
         .filter(other_than(F.col("ord_no")))
-        .select("ord_no", "cli_id").distinct()
-        .withColumn("on_blanket", F.lit(True))
+        .groupBy("ord_no").agg(F.min("cli_id").alias("blanket_cli_id"))
     )
 
 
@@ -171,17 +169,15 @@ def missing_component_orders(tables: Tables) -> DataFrame:
     kit_parts = tables["part_kit"].select(
         F.col("pkt_master_prt_id").alias("master"), F.col("prt_id").alias("under_prt_id")
     ).distinct().withColumn("in_kit", F.lit(True))
-    parents = (
-        lines.filter(F.col("orl_kitmaster_id") == 0)
-        .select("ord_no", F.col("orl_id").alias("parent_id"), F.col("prt_id").alias("master"))
-        .join(kit_sizes(tables), "master")
+    top_level = lines.filter(F.col("orl_kitmaster_id") == 0).select(
+        "ord_no", F.col("orl_id").alias("parent_id"), F.col("prt_id").alias("master")
     )
+    parents = join_unique(top_level, kit_sizes(tables), "master")
     under = lines.filter(F.col("orl_kitmaster_id") != 0).select(
         F.col("orl_kitmaster_id").alias("parent_id"), F.col("prt_id").alias("under_prt_id")
     ).distinct().withColumn("is_line", F.lit(True))
     return (
-        parents.join(under, "parent_id", "left")
-        .join(kit_parts, ["master", "under_prt_id"], "left")
+        join_unique(parents.join(under, "parent_id", "left"), kit_parts, ["master", "under_prt_id"], "left")
         .groupBy("parent_id", "ord_no", "components")
         .agg(
             F.count("is_line").alias("lines_under"),
@@ -218,10 +214,9 @@ def off_ratio_orders(tables: Tables) -> DataFrame:
         "ord_no", F.col("orl_id").alias("orl_kitmaster_id"),
         F.col("orl_quantity").alias("parent_qty"), F.col("prt_id").alias("parent_prt_id"),
     )
+    components = lines.filter(F.col("orl_kitmaster_id") != 0).join(parents, ["ord_no", "orl_kitmaster_id"])
     suspects = (
-        lines.filter(F.col("orl_kitmaster_id") != 0)
-        .join(parents, ["ord_no", "orl_kitmaster_id"])
-        .join(ratios, "prt_id")
+        join_unique(components, ratios, "prt_id")
         .filter((F.col("low") * parent_qty != qty) | (F.col("high") * parent_qty != qty))
         .select("ord_no", "prt_id", "parent_prt_id", "parent_qty", "orl_quantity", "kits_with_it")
         .distinct()
@@ -231,7 +226,7 @@ def off_ratio_orders(tables: Tables) -> DataFrame:
     own = kit.groupBy(F.col("master").alias("parent_prt_id"), "prt_id").agg(
         F.min("pkt_qty").alias("own_low"), F.max("pkt_qty").alias("own_high")
     )
-    judged = suspects.join(own, ["parent_prt_id", "prt_id"], "left").withColumn(
+    judged = join_unique(suspects, own, ["parent_prt_id", "prt_id"], "left").withColumn(
         "off_own",
         F.coalesce(
             (F.col("own_low") * parent_qty != qty) | (F.col("own_high") * parent_qty != qty), F.lit(False)
@@ -241,17 +236,17 @@ def off_ratio_orders(tables: Tables) -> DataFrame:
 
     kits_on_order = (
         lines.select("ord_no", F.col("prt_id").alias("master")).distinct()
-        .join(kit.select("master").distinct(), "master", "left_semi")
+        .join(kit.select("master"), "master", "left_semi")
     )
-    open_lines = judged.filter(~F.col("off_own")).join(
-        kits_on_order.groupBy("ord_no").agg(F.count("*").alias("kits_on_order")), "ord_no"
+    open_lines = join_unique(
+        judged.filter(~F.col("off_own")),
+        kits_on_order.groupBy("ord_no").agg(F.count("*").alias("kits_on_order")), "ord_no",
     )
     few_kits_with_it = F.col("kits_with_it") <= F.col("kits_on_order")
     off = F.col("pkt_qty") * parent_qty != qty
-    by_component = (
-        open_lines.filter(few_kits_with_it)
-        .join(kit, "prt_id").filter(off)
-        .join(kits_on_order, ["ord_no", "master"], "left_semi")
+    by_component = join_unique(
+        open_lines.filter(few_kits_with_it).join(kit, "prt_id").filter(off),
+        kits_on_order, ["ord_no", "master"], "left_semi",
     )
     by_order = (
         open_lines.filter(~few_kits_with_it)

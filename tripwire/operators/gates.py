@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripwire.functions.frames import join_unique
 from tripwire.operators.kits import confirmed_multiplier_orders
 from tripwire.operators.suppress import ACCEPTED
 from tripwire.plans.templates import HANDLED
@@ -47,7 +48,7 @@ def gate_multipliers(enriched: DataFrame, tables: Tables) -> DataFrame:
         "is_confirmed", F.lit(True)
     )
     return (
-        enriched.join(confirmed, "ord_no", "left")
+        join_unique(enriched, confirmed, "ord_no", "left")
         .withColumn("disposition", F.when(F.col("is_confirmed"), ACCEPTED).otherwise(GATED))
         .select(*enriched.columns, "disposition")
     )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripwire.functions.columns import any_true
+from tripwire.functions.frames import join_unique
 from tripwire.operators.paging import PAGE_ROWS, paged
 
 Tables = dict[str, DataFrame]
@@ -23,8 +24,8 @@ def kit_sizes(tables: Tables) -> DataFrame:
 
 def _lines_of(tables: Tables, orders: DataFrame | None) -> DataFrame:
     lines = tables["order_line"]
-    return lines if orders is None else lines.join(
-        orders.select("ord_no").distinct(), "ord_no", "left_semi"
+    return lines if orders is None else join_unique(
+        lines, orders.select("ord_no").distinct(), "ord_no", "left_semi"
     )
 
 
@@ -83,7 +84,7 @@ def existing_blankets(tables: Tables, orders: DataFrame | None = None) -> DataFr
         header = header.join(orders.select("ord_no").distinct(), "ord_no", "left_semi")
     clients = tables["client"].select("cli_id", "cli_no").distinct()
     wanted = (
-        tables["order_line"].select("ord_no", "prt_no").distinct()
+        _lines_of(tables, orders).select("ord_no", "prt_no").distinct()
         .join(header, "ord_no")
         .join(clients, "cli_id")
         .select("ord_no", "prt_no", "cli_no").distinct()
@@ -93,15 +94,17 @@ def existing_blankets(tables: Tables, orders: DataFrame | None = None) -> DataFr
 
 
 def _report_rows(parents: DataFrame, lines: DataFrame, line_cols: list[str]) -> DataFrame:
-    """Each kit line with its report lines; one row of nulls where it has none."""
+    """Each kit line once without a report line, and once with each it has.
+
+    The lines are the side that Spark may split: one kit line can have many.
+    """
     head = parents.select(
         "ord_no", F.col("orl_sort_idx").alias("parent_idx"), F.col("prt_no").alias("parent_prt_no"),
         F.col("orl_id").alias("parent_id"),
     )
-    body = lines.select(
-        "ord_no", "parent_id", F.struct("orl_sort_idx", *line_cols).alias("line")
-    )
-    return head.join(body, ["ord_no", "parent_id"], "left")
+    body = lines.select("ord_no", "parent_id", F.struct("orl_sort_idx", *line_cols).alias("line"))
+    told = join_unique(body, head, ["ord_no", "parent_id"])
+    return told.unionByName(head, allowMissingColumns=True)
 
 
 def missing_component_rows(tables: Tables, orders: DataFrame | None = None) -> DataFrame:

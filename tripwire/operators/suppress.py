@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripwire.functions.columns import MICROS, wall_micros
-from tripwire.functions.frames import checkpointed
+from tripwire.functions.frames import checkpointed, join_unique
 from tripwire.schemas import ALERT_KEY
 
 HOUR = 3600
@@ -64,7 +64,7 @@ def is_duplicate(
     probed = candidates.withColumn("at", at).withColumn("bucket", F.floor(F.col("at") / width).cast("long"))
     hit = (F.col("own_low") < F.col("at")) | (F.col("previous_high") + width > F.col("at"))
     return (
-        probed.join(reach, [*key, "bucket"], "left")
+        join_unique(probed, reach, [*key, "bucket"], "left")
         .withColumn("is_duplicate", F.coalesce(hit, F.lit(False)))
         .select(*candidates.columns, "is_duplicate")
     )
@@ -93,7 +93,7 @@ def suppress(
     late = F.lit(False)
     if seed is not None:
         seeds = seed.select(*key, wall_micros(F.col(ts)).alias("seeded"))
-        rows = rows.join(seeds, key, "left")
+        rows = join_unique(rows, seeds, key, "left")
         late = F.coalesce(F.col("at") < F.col("seeded"), F.lit(False))
         points = rows.filter(comparable & ~late).select(*key, "at").union(
             seeds.select(*key, F.col("seeded").alias("at"))
@@ -105,7 +105,7 @@ def suppress(
         .when(F.col("is_accepted"), ACCEPTED).otherwise(DUPLICATE)
     )
     return (
-        rows.join(accepted, [*key, "at"], "left")
+        join_unique(rows, accepted, [*key, "at"], "left")
         .withColumn("disposition", verdict)
         .select(*candidates.columns, "disposition")
     )

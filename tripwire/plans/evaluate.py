@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tripwire.operators.payload import encode_payload
 from tripwire.plans.rules import CATALOGUE
-from tripwire.plans.rules.base import Fact, Rule
+from tripwire.plans.rules.base import Fact, Rule, attach_facts
 
 Tables = dict[str, DataFrame]
 
@@ -32,7 +32,7 @@ def evaluate(
     # Changes no rule is about never enter a join.
     rows = changes.filter(reduce(lambda a, b: a | b, [r.concerns() for r in rules]))
     needed = list(dict.fromkeys(name for r in rules for name in r.facts))
-    rows = reduce(lambda df, name: known_facts[name].attach(df, tables), needed, rows)
+    rows = attach_facts(rows, [known_facts[name] for name in needed], tables)
     raised = F.filter(F.array(*[_raise(r) for r in rules]), lambda a: a.isNotNull())
     found = rows.select(F.inline(raised), "app_name", "commit_ts", "change_seq", *_txn(changes))
     return _once_per_transaction(found)

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripwire.functions.frames import join_unique, merge_by_key
+
 Tables = dict[str, DataFrame]
 
 INSERT, UPDATE = "INSERT", "UPDATE"
@@ -67,8 +69,28 @@ class Fact:
     on: dict[str, str]
 
     def attach(self, changes: DataFrame, tables: Tables) -> DataFrame:
-        fact = self.build(tables)
-        renamed = fact.withColumnsRenamed({key: f"fact_{key}" for key in self.on})
-        match = [F.col(f"fact_{key}") == F.col(source) for key, source in self.on.items()]
-        keys = [f"fact_{key}" for key in self.on]
-        return changes.join(renamed, match, "left").drop(*keys)
+        return join_fact(changes, self.build(tables), self.on)
+
+
+def join_fact(changes: DataFrame, fact: DataFrame, on: dict[str, str]) -> DataFrame:
+    """Left join; many changes may share a key, the fact has one row for it."""
+    names = {key: f"fact_{key}" for key in on}
+    keyed = changes.withColumns({names[key]: F.col(source) for key, source in on.items()})
+    renamed = fact.withColumnsRenamed(names)
+    return join_unique(keyed, renamed, list(names.values()), "left").drop(*names.values())
+
+
+def attach_facts(changes: DataFrame, facts: list[Fact], tables: Tables) -> DataFrame:
+    """Join facts to the changes, those with the same key in one join.
+
+    Changes are the wide side. Facts of a key are merged first, so the changes
+    move once per kind of key and not once per fact.
+    """
+    for fact in facts:
+        alike = [f for f in facts if type(f) is Fact and f.on == fact.on]
+        if type(fact) is not Fact:
+            changes = fact.attach(changes, tables)
+        elif alike[0] is fact:
+            merged = merge_by_key([f.build(tables) for f in alike], list(fact.on))
+            changes = join_fact(changes, merged, fact.on)
+    return changes

@@ -17,7 +17,7 @@ from tripwire.plans.rules.base import Fact, Rule, becomes, commit_date, new, old
 FACTS = {
     "lines": Fact(facts.line_facts, {"ord_no": "new.ord_no"}),
     "parts": Fact(facts.part_facts, {"ord_no": "new.ord_no"}),
-    "blankets": Fact(facts.blanket_part_orders, {"ord_no": "new.ord_no", "cli_id": "new.cli_id"}),
+    "blankets": Fact(facts.blanket_part_orders, {"ord_no": "new.ord_no"}),
     "lead_times": Fact(facts.short_lead_orders, {"ord_no": "new.ord_no"}),
     "po_numbers": Fact(
         facts.client_po_numbers,
@@ -93,7 +93,7 @@ RULES = [
     Rule(
         13, "EXISTING BLANKET", "ord_no",
         lambda: _no_project() & _live(),
-        lambda: F.col("on_blanket"), ("blankets",),
+        lambda: F.col("blanket_cli_id") == new("cli_id"), ("blankets",),
     ),
     Rule(14, "UNIT DATES", "ord_no", _no_project, lambda: F.col("has_short_lead"), ("lead_times",)),
     Rule(
