@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwire.functions.frames import checkpointed, tune
+from tripwire.functions.frames import tune, written
 from tripwire.operators import enrich, facts, kits, outbox, payload, suppress
 from tripwire.plans import evaluate, pipeline
 from tripwire.plans.rules import CATALOGUE
@@ -170,7 +170,7 @@ def _order_blankets(star: StarTables, tables: Tables) -> DataFrame:
 def _alerts_of(star: StarTables, tables: Tables, table: str, *names: str) -> DataFrame:
     raised = evaluate.evaluate(star.changes(table), table, tables, list(names))
     alerts = payload.read_session(raised).withColumnRenamed("commit_ts", "time_stamp")
-    return checkpointed(alerts.filter(~F.col("malformed")).select(*pipeline.ALERT_COLUMNS))
+    return written(alerts.filter(~F.col("malformed")).select(*pipeline.ALERT_COLUMNS))
 
 
 def _enrich_orders(star: StarTables, tables: Tables) -> DataFrame:
@@ -178,24 +178,23 @@ def _enrich_orders(star: StarTables, tables: Tables) -> DataFrame:
     return enrich.enrich(alerts, tables, {"ord_no"}).select("alert", "reference", "ord_no", "client_name")
 
 
+def _delivered(star: StarTables, tables: Tables, table: str, names: list[str], routing: outbox.Routing = ROUTING):
+    """Unsuppressed alerts through lookups, gates and rendering."""
+    return pipeline.deliver(
+        _alerts_of(star, tables, table, *names), tables, routing, *pipeline.kinds(names)
+    )
+
+
 def _gate(table: str, alert: str) -> Query:
     def build(star: StarTables, tables: Tables) -> DataFrame:
-        alerts = _alerts_of(star, tables, table, alert)
-        gated = pipeline.passed_gates(alerts, tables, *pipeline.kinds([alert]))
+        gated, _ = _delivered(star, tables, table, [alert])
         return gated.select("reference", "change_seq", "disposition")
 
     return _on_tables(build)
 
 
 def _messages(table: str, *names: str, routing: outbox.Routing = ROUTING) -> Query:
-    """Unsuppressed alerts through lookups, gates and rendering."""
-    def build(star: StarTables, tables: Tables) -> DataFrame:
-        found, refs = pipeline.kinds(list(names))
-        gated = pipeline.passed_gates(_alerts_of(star, tables, table, *names), tables, found, refs)
-        passed = gated.filter(F.col("disposition") == suppress.ACCEPTED)
-        return _flat_messages(outbox.outbox(passed, tables, routing, names=found))
-
-    return _on_tables(build)
+    return _on_tables(lambda star, t: _flat_messages(_delivered(star, t, table, list(names), routing)[1]))
 
 
 def _flat_messages(messages: DataFrame) -> DataFrame:

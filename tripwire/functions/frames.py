@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,24 +79,37 @@ def shared_folder(spark: SparkSession) -> str:
         if not folder:
             if not context.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="tripwire-checkpoint-")
+            folder = tempfile.mkdtemp(prefix="tripwire-")
         context.setCheckpointDir(folder)
     return folder
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and go on from there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+# The folder below the shared one that tables go to at the moment.
+_PLACE: ContextVar[str | None] = ContextVar("place", default=None)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table of this application in the shared folder and read it back.
+def written(df: DataFrame, name: str | None = None) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and go on from there.
 
-    Unlike a checkpoint the result has statistics, so Spark can weigh a
-    broadcast, and its columns and rows can be pruned at the scan.
+    This cuts the lineage and survives lost executors, as a checkpoint does.
+    Unlike a checkpoint, the result has statistics, so Spark can weigh a
+    broadcast, and the scan can prune its columns and rows.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}/{name}"
+    place = _PLACE.get() or f"tables-{spark.sparkContext.applicationId}"
+    path = f"{shared_folder(spark)}/{place}/{name or uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are removed at the end, for jobs that run for long."""
+    place = f"scratch-{uuid4().hex}"
+    outer = _PLACE.set(place)
+    try:
+        yield
+    finally:
+        _PLACE.reset(outer)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{place}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tripwire.functions.frames import join_unique, one_row_per_key
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 
 @dataclass(frozen=True)

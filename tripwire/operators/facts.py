@@ -7,6 +7,8 @@ as one row per task. Rules then join to a side that is unique on the join key.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,10 +19,10 @@ from tripwire.functions.columns import (
     has_part,
     is_live,
 )
-from tripwire.functions.frames import join_unique
+from tripwire.functions.frames import join_unique, written
 from tripwire.operators.kits import kit_sizes
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 # Part groups whose lines may be due in less than the lead time.
 SHORT_LEAD_GROUPS = (
@@ -226,38 +228,42 @@ def off_ratio_orders(tables: Tables) -> DataFrame:
     own = kit.groupBy(F.col("master").alias("parent_prt_id"), "prt_id").agg(
         F.min("pkt_qty").alias("own_low"), F.max("pkt_qty").alias("own_high")
     )
-    judged = join_unique(suspects, own, ["parent_prt_id", "prt_id"], "left").withColumn(
-        "off_own",
-        F.coalesce(
-            (F.col("own_low") * parent_qty != qty) | (F.col("own_high") * parent_qty != qty), F.lit(False)
-        ),
+    off_own = (F.col("own_low") * parent_qty != qty) | (F.col("own_high") * parent_qty != qty)
+    # Few lines get here. Written once, they are a table of known size to the rest.
+    judged = written(
+        join_unique(suspects, own, ["parent_prt_id", "prt_id"], "left")
+        .withColumn("off_own", F.coalesce(off_own, F.lit(False)))
+        .drop("own_low", "own_high", "parent_prt_id")
     )
-    settled = judged.filter("off_own").select("ord_no")
+    settled = judged.filter("off_own").select("ord_no").distinct().withColumn("has_off_ratio", F.lit(True))
+    open_lines = judged.filter("not off_own")
+    if open_lines.isEmpty():
+        return settled
 
     kits_on_order = (
-        lines.select("ord_no", F.col("prt_id").alias("master")).distinct()
+        join_unique(
+            lines.select("ord_no", F.col("prt_id").alias("master")),
+            open_lines.select("ord_no").distinct(), "ord_no", "left_semi",
+        )
+        .distinct()
         .join(kit.select("master"), "master", "left_semi")
     )
-    open_lines = join_unique(
-        judged.filter(~F.col("off_own")),
-        kits_on_order.groupBy("ord_no").agg(F.count("*").alias("kits_on_order")), "ord_no",
+    sized = join_unique(
+        open_lines, kits_on_order.groupBy("ord_no").agg(F.count("*").alias("kits_on_order")), "ord_no"
     )
     few_kits_with_it = F.col("kits_with_it") <= F.col("kits_on_order")
     off = F.col("pkt_qty") * parent_qty != qty
     by_component = join_unique(
-        open_lines.filter(few_kits_with_it).join(kit, "prt_id").filter(off),
+        sized.filter(few_kits_with_it).join(kit, "prt_id").filter(off),
         kits_on_order, ["ord_no", "master"], "left_semi",
     )
     by_order = (
-        open_lines.filter(~few_kits_with_it)
+        sized.filter(~few_kits_with_it)
         .join(kits_on_order, "ord_no")
         .join(kit, ["master", "prt_id"]).filter(off)
     )
-    return (
-        settled.union(by_component.select("ord_no")).union(by_order.select("ord_no"))
-        .distinct()
-        .withColumn("has_off_ratio", F.lit(True))
-    )
+    others = by_component.select("ord_no").union(by_order.select("ord_no"))
+    return settled.union(others.distinct().withColumn("has_off_ratio", F.lit(True))).distinct()
 
 
 def unrun_lots(tables: Tables) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from tripwire.operators.kits import confirmed_multiplier_orders
 from tripwire.operators.suppress import ACCEPTED
 from tripwire.plans.templates import HANDLED
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 GATED, UNHANDLED = "gated", "unhandled"
 

@@ -5,14 +5,17 @@ Every function takes a set of orders and answers for all of them at once.
 
 from __future__ import annotations
 
+from collections import ChainMap
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripwire.functions.columns import any_true
-from tripwire.functions.frames import join_unique
+from tripwire.functions.frames import join_unique, written
 from tripwire.operators.paging import PAGE_ROWS, paged
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 
 def kit_sizes(tables: Tables) -> DataFrame:
@@ -29,6 +32,14 @@ def _lines_of(tables: Tables, orders: DataFrame | None) -> DataFrame:
     )
 
 
+def with_lines_of(tables: Tables, orders: DataFrame) -> Tables:
+    """The same tables with the lines cut to some orders, written once.
+
+    The reports of an order read its lines many times and no others.
+    """
+    return ChainMap({"order_line": written(_lines_of(tables, orders))}, tables)
+
+
 def kit_parents(tables: Tables, orders: DataFrame | None = None) -> DataFrame:
     """The lines whose part is a kit: ord_no, orl_sort_idx, prt_no, orl_id."""
     masters = tables["part_kit"].select(F.col("pkt_master_prt_id").alias("prt_id"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +12,7 @@ from tripwire.operators import kits
 from tripwire.operators.paging import PAGE_ROWS, paged
 from tripwire.plans.templates import NOUN_MANY, NOUN_ONE, template_table
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 
 @dataclass(frozen=True)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripwire.functions.frames import join_unique
+
 PAGE_ROWS = 10_000
 
 
@@ -17,22 +19,21 @@ def paged(rows: DataFrame, key: str, range_col: str, hash_cols: list[str], page_
     """Adds ``page`` (from 1) and ``pages`` per ``key``; every row is kept."""
     span = F.coalesce(F.floor(F.col(range_col) / page_rows), F.lit(0)).cast("long")
     ranged = rows.withColumn("span", span)
+    # One row per range of a key; its place among the pages to come.
     counts = ranged.groupBy(key, "span").agg(F.count("*").alias("span_rows"))
-    totals = counts.groupBy(key).agg(F.sum("span_rows").alias("key_rows"))
-    # One row per page to come: its place in the order of the key's pages.
-    short = F.col("key_rows") <= page_rows
-    slots = F.when(short, 1).otherwise(F.ceil(F.col("span_rows") / page_rows)).cast("int")
-    by_place = Window.partitionBy(key).orderBy("span")
+    whole = Window.partitionBy(key)
+    short = F.sum("span_rows").over(whole) <= page_rows
     plan = (
-        counts.join(totals, key)
-        .withColumn("slots", slots)
-        .withColumn("first_page", F.when(short, 1).otherwise(1 + F.sum("slots").over(by_place) - F.col("slots")))
-        .withColumn("pages", F.when(short, 1).otherwise(F.sum("slots").over(Window.partitionBy(key))))
+        counts.withColumn("short", short)
+        .withColumn("slots", F.when(F.col("short"), 1).otherwise(F.ceil(F.col("span_rows") / page_rows)).cast("int"))
+        .withColumn("through", F.sum("slots").over(whole.orderBy("span")))
+        .withColumn("first_page", F.when(F.col("short"), 1).otherwise(1 + F.col("through") - F.col("slots")))
+        .withColumn("pages", F.when(F.col("short"), 1).otherwise(F.sum("slots").over(whole)))
         .select(key, "span", "slots", "first_page", "pages")
     )
     slot = F.pmod(F.xxhash64(*hash_cols), F.col("slots"))
     return (
-        ranged.join(plan, [key, "span"])
+        join_unique(ranged, plan, [key, "span"])
         .withColumn("page", (F.col("first_page") + slot).cast("int"))
         .withColumn("pages", F.col("pages").cast("int"))
         .drop("span", "slots", "first_page")

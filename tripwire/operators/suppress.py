@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripwire.functions.columns import MICROS, wall_micros
-from tripwire.functions.frames import checkpointed, join_unique
+from tripwire.functions.frames import join_unique, written
 from tripwire.schemas import ALERT_KEY
 
 HOUR = 3600
@@ -113,7 +113,7 @@ def suppress(
 
 def accepted_times(points: DataFrame, key: list[str], width: int, fold_rows: int = FOLD_ROWS) -> DataFrame:
     """The accepted times per key, each once; ``points`` has the key and ``at``."""
-    chains = checkpointed(_chains(points, key, width))
+    chains = written(_chains(points, key, width))
     is_short = F.col("chain_end") - F.col("chain_start") < width
     is_small = F.col("chain_rows") <= fold_rows
 
@@ -186,16 +186,16 @@ def _follow(points: DataFrame, key: list[str], width: int, span: int) -> DataFra
     checkpoint, which bounds the plan and survives lost executors.
     """
     chain = [*key, "chain_start"]
-    jumps = checkpointed(_successors(points, key, width))
-    path = checkpointed(points.select(*chain).distinct().withColumn("at", F.col("chain_start")))
+    jumps = written(_successors(points, key, width))
+    path = written(points.select(*chain).distinct().withColumn("at", F.col("chain_start")))
     for _ in range(ceil(log2(span // width + 2)) + 1):
         if jumps.isEmpty():
             break
         reached = path.join(jumps, [*chain, "at"]).select(*chain, F.col("target").alias("at"))
-        path = checkpointed(path.union(reached))
+        path = written(path.union(reached))
         useful = path.union(jumps.select(*chain, F.col("target").alias("at"))).distinct()
         onward = jumps.select(*chain, F.col("at").alias("target"), F.col("target").alias("next_target"))
-        jumps = checkpointed(
+        jumps = written(
             jumps.join(useful, [*chain, "at"], "left_semi")
             .join(onward, [*chain, "target"])
             .select(*chain, "at", F.col("next_target").alias("target"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from tripwire.operators.payload import encode_payload
 from tripwire.plans.rules import CATALOGUE
 from tripwire.plans.rules.base import Fact, Rule, attach_facts
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 
 def evaluate(

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwire.functions.frames import checkpointed
+from tripwire.functions.frames import written
 from tripwire.operators.enrich import enrich
 from tripwire.operators.gates import gate
-from tripwire.operators.outbox import Routing, outbox
+from tripwire.operators.kits import with_lines_of
+from tripwire.operators.outbox import LISTINGS, Routing, outbox
 from tripwire.operators.payload import parse_payload, read_session
 from tripwire.operators.suppress import ACCEPTED, last_logged, suppress
 from tripwire.plans.evaluate import evaluate_all
 from tripwire.plans.rules import CATALOGUE
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 MALFORMED = "malformed"
 ALERT_COLUMNS = ["time_stamp", "alert", "ref_type", "reference", "user_name", "station", "change_seq"]
@@ -45,11 +47,17 @@ def kinds(alerts: list[str] | None = None, tables: list[str] | None = None) -> t
     return {r.alert for r in rules}, {r.ref for r in rules}
 
 
-def passed_gates(
-    logged: DataFrame, tables: Tables, names: set[str] | None = None, refs: set[str] | None = None
-) -> DataFrame:
-    """Enriched alerts with the disposition their gates give them."""
-    return checkpointed(gate(checkpointed(enrich(logged, tables, refs)), tables, names))
+def deliver(
+    logged: DataFrame, tables: Tables, routing: Routing,
+    names: set[str] | None = None, refs: set[str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Enriched alerts with the disposition their gates give them, and the messages."""
+    enriched = written(enrich(logged, tables, refs))
+    if names is None or names & set(LISTINGS):
+        listed = enriched.filter(F.col("alert").isin(list(LISTINGS)))
+        tables = with_lines_of(tables, listed.select("ord_no"))
+    gated = written(gate(enriched, tables, names))
+    return gated, outbox(gated.filter(F.col("disposition") == ACCEPTED), tables, routing, names=names)
 
 
 def handle(
@@ -63,14 +71,13 @@ def handle(
     and the messages all read them. ``names`` and ``refs`` hold what can occur;
     leave them out for alerts of unknown origin.
     """
-    alerts = checkpointed(alerts.select(*ALERT_COLUMNS, "malformed"))
+    alerts = written(alerts.select(*ALERT_COLUMNS, "malformed"))
     unreadable = alerts.filter("malformed").drop("malformed").withColumn("disposition", F.lit(MALFORMED))
     seed = None if log is None else last_logged(log)
-    judged = checkpointed(suppress(alerts.filter(~F.col("malformed")).drop("malformed"), seed=seed))
+    judged = written(suppress(alerts.filter(~F.col("malformed")).drop("malformed"), seed=seed))
     logged = judged.filter(F.col("disposition") == ACCEPTED).drop("disposition")
-    gated = passed_gates(logged, tables, names, refs)
+    gated, messages = deliver(logged, tables, routing, names, refs)
     refused = judged.filter(F.col("disposition") != ACCEPTED)
-    messages = outbox(gated.filter(F.col("disposition") == ACCEPTED), tables, routing, names=names)
     return Outcome(
         alerts=unreadable.unionByName(refused).unionByName(gated.select(*ALERT_COLUMNS, "disposition")),
         log=logged,

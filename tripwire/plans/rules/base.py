@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tripwire.functions.frames import join_unique, merge_by_key
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 INSERT, UPDATE = "INSERT", "UPDATE"
 

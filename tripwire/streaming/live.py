@@ -6,19 +6,20 @@ queries never compete for the same alert and each reads back its own log.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tripwire.functions.frames import scratch
 from tripwire.operators.outbox import Routing
 from tripwire.operators.suppress import HOUR
 from tripwire.plans.pipeline import run
 from tripwire.sources.sinks import append_alerts, read_log, write_batch
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 
 def process(
@@ -36,10 +37,11 @@ def process(
         feed.sparkSession, f"{root}/alerts", source=table, before_batch=batch_id,
         since=first - timedelta(seconds=HOUR),
     )
-    outcome = run({table: feed}, tables, routing, log)
-    append_alerts(outcome.log, f"{root}/alerts", table, batch_id)
-    write_batch(outcome.alerts, f"{root}/dispositions", table, batch_id)
-    write_batch(outcome.messages, f"{root}/outbox", table, batch_id)
+    with scratch(feed.sparkSession):
+        outcome = run({table: feed}, tables, routing, log)
+        append_alerts(outcome.log, f"{root}/alerts", table, batch_id)
+        write_batch(outcome.alerts, f"{root}/dispositions", table, batch_id)
+        write_batch(outcome.messages, f"{root}/outbox", table, batch_id)
 
 
 def start(
