@@ -11,7 +11,7 @@ from tests.builders import tables
 from tripwire.operators import enrich, gates, outbox
 from tripwire.plans import pipeline
 from tripwire.plans.rules import CATALOGUE
-from tripwire.plans.templates import HANDLED, pieces
+from tripwire.plans.templates import HANDLED, as_format
 
 NOW = datetime(2024, 1, 15, 9)
 
@@ -165,6 +165,8 @@ def test_a_long_list_becomes_several_messages(spark):
     assert sum(r.body.count("in blanket order") for r in out) == 900
 
 
-@pytest.mark.parametrize("text, want", [("a{ref}b{ref}", ["a", "{ref}", "b", "{ref}"]), ("{X} y", ["{X} y"])])
-def test_pieces(text, want):
-    assert pieces(text) == want
+@pytest.mark.parametrize("text, want", [
+    ("a{ref}b{ref}", "a%1$sb%1$s"), ("{X} y 5%", "{X} y 5%%"), ("{noun}", "%10$s"),
+])
+def test_formats(text, want):
+    assert as_format(text) == want

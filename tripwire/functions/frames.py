@@ -48,12 +48,13 @@ def join_unique(left: DataFrame, right: DataFrame, on: str | list[str], how: str
     come straight out of a shuffle. A side that was just aggregated by the same
     key would skip that shuffle, and the hot key would stay in one task. The
     hash of the key as a second join key asks for the shuffle; it moves one row
-    per key. Sides small enough to broadcast are broadcast as ever.
+    per key. Sides small enough to broadcast are broadcast as ever. The hash
+    comes first so that sorts compare numbers before they compare texts.
     """
     keys = [on] if isinstance(on, str) else on
     spread = F.xxhash64(*keys)
     return left.withColumn("spread", spread).join(
-        right.withColumn("spread", spread), [*keys, "spread"], how
+        right.withColumn("spread", spread), ["spread", *keys], how
     ).drop("spread")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tripwire.operators import kits
 from tripwire.operators.paging import PAGE_ROWS, paged
-from tripwire.plans.templates import NOUN_MANY, NOUN_ONE, template_table
+from tripwire.plans.templates import NOUN_MANY, NOUN_ONE, PLACEHOLDERS, template_table
 
 Tables = Mapping[str, DataFrame]
 
@@ -72,25 +72,20 @@ def route(messages: DataFrame, routing: Routing) -> DataFrame:
 def render(messages: DataFrame) -> DataFrame:
     """Adds ``subject`` and ``body``. Values are never read as placeholders."""
     values = {
-        "{ref}": F.col("reference"), "{user}": F.col("user_name"), "{client}": F.col("client_name"),
-        "{order}": F.col("ord_no").cast("string"), "{part}": F.col("part_no"),
-        "{description}": F.col("description"), "{po}": F.col("puh_no").cast("string"),
-        "{supplier}": F.col("supplier_name"), "{list}": F.col("listing"), "{noun}": F.col("noun"),
+        "ref": F.col("reference"), "user": F.col("user_name"), "client": F.col("client_name"),
+        "order": F.col("ord_no").cast("string"), "part": F.col("part_no"),
+        "description": F.col("description"), "po": F.col("puh_no").cast("string"),
+        "supplier": F.col("supplier_name"), "list": F.col("listing"), "noun": F.col("noun"),
     }
+    texts = [F.coalesce(values[name], F.lit("")) for name in PLACEHOLDERS]
 
-    def fill(piece: Column) -> Column:
-        text = piece
-        for name, value in values.items():
-            text = F.when(piece == name, F.coalesce(value, F.lit(""))).otherwise(text)
-        return text
-
-    def filled(parts: str) -> Column:
-        return F.array_join(F.transform(F.col(parts), fill), "")
+    def filled(text_format: str) -> Column:
+        return F.call_function("format_string", F.col(text_format), *texts)
 
     numbered = F.concat(F.lit(" (part "), F.col("page"), F.lit(" of "), F.col("pages"), F.lit(")"))
     return messages.withColumns({
-        "subject": F.concat(filled("subject_pieces"), F.when(F.col("pages") > 1, numbered).otherwise("")),
-        "body": filled("body_pieces"),
+        "subject": F.concat(filled("subject_format"), F.when(F.col("pages") > 1, numbered).otherwise("")),
+        "body": filled("body_format"),
     })
 
 

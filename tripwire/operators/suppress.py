@@ -10,7 +10,8 @@ time of a key is accepted, and only a gap of a whole window starts a new chain,
 so the lowest and highest time per key and bucket - combined before the shuffle
 - show where chains begin and end. Then
 
-* a chain shorter than the window accepts its first time and nothing else;
+* a chain shorter than the window accepts its first time and nothing else, and
+  so does an alert whose times all lie within one window;
 * a longer chain with few rows is folded in one array;
 * a longer chain with many rows, such as a key that holds a large share of all
   alerts, is followed by pointer doubling: every time points to the first one at
@@ -113,6 +114,15 @@ def suppress(
 
 def accepted_times(points: DataFrame, key: list[str], width: int, fold_rows: int = FOLD_ROWS) -> DataFrame:
     """The accepted times per key, each once; ``points`` has the key and ``at``."""
+    # Most alerts live for less than a window: their first time is all there is.
+    spans = written(points.groupBy(*key).agg(F.min("at").alias("at"), F.max("at").alias("last")))
+    lasting = F.col("last") - F.col("at") >= width
+    result = spans.filter(~lasting).select(*key, "at")
+    long_lived = spans.filter(lasting).select(*key)
+    if long_lived.isEmpty():
+        return result
+
+    points = join_unique(points, long_lived, key, "left_semi")
     chains = written(_chains(points, key, width))
     is_short = F.col("chain_end") - F.col("chain_start") < width
     is_small = F.col("chain_rows") <= fold_rows
@@ -121,7 +131,7 @@ def accepted_times(points: DataFrame, key: list[str], width: int, fold_rows: int
     starts = F.col("low") == F.col("chain_start")
     short = chains.filter(is_short & starts).select(*key, F.col("chain_start").alias("at"))
     small = _fold(_rows_of(points, chains.filter(~is_short & is_small), key, width), key, width)
-    result = short.union(small)
+    result = result.union(short).union(small)
 
     large = chains.filter(~is_short & ~is_small)
     span = large.agg(F.max(F.col("chain_end") - F.col("chain_start"))).first()[0]
@@ -138,16 +148,19 @@ def _chains(points: DataFrame, key: list[str], width: int) -> DataFrame:
     """Per key and bucket, the bounds and row count of the chain it belongs to.
 
     The windows run over buckets, of which a key has as many as there are
-    window lengths in the time covered, however many rows it has.
+    window lengths in the time covered, however many rows it has. Their sorts
+    compare a hash of the key before its texts.
     """
     buckets = points.groupBy(*key, _bucket(width).alias("bucket")).agg(
         F.min("at").alias("low"), F.max("at").alias("high"), F.count("*").alias("bucket_rows")
     )
-    in_order = Window.partitionBy(*key).orderBy("bucket")
+    own = ["key_hash", *key]
+    in_order = Window.partitionBy(*own).orderBy("bucket")
     before = F.lag("high").over(in_order)
-    chain = Window.partitionBy(*key, "chain")
+    chain = Window.partitionBy(*own, "chain")
     return (
-        buckets.withColumn("starts", (before.isNull() | (F.col("low") - before >= width)).cast("int"))
+        buckets.withColumn("key_hash", F.xxhash64(*key))
+        .withColumn("starts", (before.isNull() | (F.col("low") - before >= width)).cast("int"))
         .withColumn("chain", F.sum("starts").over(in_order))
         .withColumns({
             "chain_start": F.min("low").over(chain),

@@ -98,19 +98,27 @@ NOUN_ONE = "a component with a wrong quantity"
 NOUN_MANY = "components with wrong quantities"
 
 
-def pieces(text: str) -> list[str]:
-    """Literal text and ``{placeholder}`` pieces, in order."""
-    return [piece for piece in re.split(r"(\{[a-z]+\})", text) if piece]
+# Placeholders in the order in which their values are handed to a format.
+PLACEHOLDERS = [
+    "ref", "user", "client", "order", "part", "description", "po", "supplier", "list", "noun",
+]
+
+
+def as_format(text: str) -> str:
+    """A format in which ``%n$s`` stands for the n-th placeholder."""
+    return re.sub(
+        r"\{([a-z]+)\}", lambda m: f"%{PLACEHOLDERS.index(m[1]) + 1}$s", text.replace("%", "%%")
+    )
 
 
 def template_table(spark: SparkSession) -> DataFrame:
     """One row per handled alert: a fixed, small table."""
     rows = [
-        (t.alert, pieces(t.subject), pieces(t.body + CLOSING), list(t.to), list(t.cc), t.route)
+        (t.alert, as_format(t.subject), as_format(t.body + CLOSING), list(t.to), list(t.cc), t.route)
         for t in TEMPLATES
     ]
     return spark.createDataFrame(
         rows,
-        "alert string, subject_pieces array<string>, body_pieces array<string>, "
+        "alert string, subject_format string, body_format string, "
         "to_roles array<string>, cc_roles array<string>, route string",
     )
