@@ -100,7 +100,7 @@ def enrich(alerts: DataFrame, tables: Tables, refs: set[str] | None = None) -> D
 
     Alerts part by kind of reference, so that no join sees the null keys of
     alerts it has nothing to say about. Callers hand in a written or
-    checkpointed table, since each kind reads it. ``refs`` names the kinds that
+    otherwise stored table, since each kind reads it. ``refs`` names the kinds that
     can occur, where the caller knows; others get no lookups.
     """
     def complete(df: DataFrame) -> DataFrame:

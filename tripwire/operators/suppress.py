@@ -196,7 +196,7 @@ def _follow(points: DataFrame, key: list[str], width: int, span: int) -> DataFra
     After a round the followed path is twice as long and every pointer spans
     twice as many steps. Times that no pointer reaches and the path does not
     hold can never be accepted and leave the table. Each round ends in a
-    checkpoint, which bounds the plan and survives lost executors.
+    written table, which bounds the plan and survives lost executors.
     """
     chain = [*key, "chain_start"]
     jumps = written(_successors(points, key, width))
