@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripwire.functions.frames import tune, written
-from tripwire.llm import license_spans, mixing, quality_rules, secret_scan, url_ratio
+from tripwire.llm import (
+    circulant_minhash, decontamination, license_spans, mixing, quality_machine, quality_rules, secret_scan,
+    toxicity, url_ratio, warc_chunks,
+)
 from tripwire.llm.common import table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +21,11 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_ratio.judge_urls(table(tune(spark), sf_dir, "pages").select("page_id", "url"))
 
 
+def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(tune(spark), sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(tune(spark), sf_dir, "documents")
     rows = docs.select("doc_id", F.col("source").cast("string"), mixing.size_of(text_of()).alias("size"))
@@ -25,6 +33,23 @@ def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc_chunks.archive_pages(table(tune(spark), sf_dir, "pages"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return warc_chunks.page_totals(warc_chunks.read_chunks(files.repartition(tasks, "file"), keep_data=False))
+
+
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(tune(spark), sf_dir, "documents").select("doc_id", "text", *quality_machine.META)
+    return quality_machine.score(docs, quality_machine.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles of four words, as the query's contract says; the operator's own default is five."""
+    docs = table(tune(spark), sf_dir, "documents").select("doc_id", "text")
+    return circulant_minhash.near_duplicates(docs, width=4, percent=80)
+
+
 def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(table(tune(spark), sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
     kinds = [r.kind for r in secret_scan.RULES if r.base]
@@ -44,6 +69,17 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept", "posterior")
 
 
+def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(tune(spark), sf_dir, "documents").select("doc_id", "text")
+    return decontamination.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_spans.scan(table(tune(spark), sf_dir, "documents").select("doc_id", "text"))
 
@@ -51,10 +87,16 @@ def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_url_ratio": url_filter,
+        "op2_toxicity": toxic,
         "op3_mix_sources": mix_sources,
+        "op4_warc_chunks": archives,
+        "op5_quality_machine": quality_scores,
+        "op6_circulant_minhash": near_duplicates,
         "op7_secret_scan": secrets,
         "op8_quality_rules": quality,
+        "op9_decontamination": leaks,
         "op10_license_spans": licenses,
+        "pipeline": pipeline,
     }
 
 
