@@ -1,0 +1,47 @@
+import re
+from collections import Counter
+
+from conftest_llm import words
+
+from tripwire.llm import quality_rules as q
+
+
+def brute(text):
+    text = text or ""
+    w = words(text)
+    seen = Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4))
+    covered = {i + k for i in range(len(w) - 4) if seen[tuple(w[i:i + 5])] > 1 for k in range(5)}
+    lines = [x for x in text.split("\n") if words(x)]
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
+
+
+def measured(rows):
+    return q.measure(rows.select("doc_id", "text"), ["doc_id", "text"]).collect()
+
+
+def test_measures_equal_a_count_in_plain_python(docs, odd):
+    for rows in (docs, odd):
+        for r in measured(rows):
+            assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute(r.text), r.doc_id
+
+
+def test_kept_is_false_for_base_failures_and_visible_junk(spark):
+    good = "The sun was over the hill, and a man went down to it. Then he saw the old house by the river.\n"
+    rows = [(1, good + "Nobody had been there for years; he went in.\n" * 1 + "He liked what he found there, so he stayed."),
+            (2, "too short"), (3, "BUY!! NOW!! " * 30), (4, " ".join(f"w{i}***" for i in range(80))), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    m = q.measure(df, ["doc_id"])
+    kept = {r.doc_id: r.kept for r in q.judge(m, q.fit(m)).collect()}
+    assert kept == {1: True, 2: False, 3: False, 4: False, 5: False}
+
+
+def test_accuracies_follow_agreement(docs):
+    m = q.measure(docs.select("doc_id", "text"), ["doc_id"])
+    model = q.fit(m)
+    assert all(w["b"] <= -2 and w["g"] >= 0 for w in model.weights)
+    assert q.fit(m) == model
+
+
+def test_an_empty_table_gives_no_rows(docs):
+    m = q.measure(docs.limit(0).select("doc_id", "text"), ["doc_id"])
+    assert q.judge(m, q.fit(m)).collect() == []

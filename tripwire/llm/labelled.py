@@ -23,9 +23,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, he
         .groupBy(F.col("doc_id").alias("id")).agg(F.min(label).cast("int").alias("label"))
         .orderBy(F.xxhash64("id"), "id").limit(most)
     )
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *keep)
     return (
-        docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))
-        .select("id", text.alias("text"), "label", *keep)
+        rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("id", "text", "label", *keep)
         .orderBy(F.xxhash64("id"), "id", F.xxhash64("text")).limit(most)
     )

@@ -139,6 +139,8 @@ def fit(docs: DataFrame, labels: DataFrame, meta: tuple[str, ...] = META, most:
 
     sample = training_rows(_with_meta(docs, meta), labels, "quality", FOLDS, HELD_OUT, most, meta)
     row = sample.select("text", "label", *meta).coalesce(1).mapInArrow(run, "bias double, weights binary, vectors binary").first()
+    if row is None:
+        return train([], np.zeros(0, int), size)
     return Machine(row["bias"], np.frombuffer(row["weights"], "<f8"), np.frombuffer(row["vectors"], "<f8").reshape(size, RANK))
 
 

@@ -1,4 +1,4 @@
-"""One query per corpus operator over its whole table, and SQL for those that SQL can express."""
+"""One query per corpus operator over its whole table."""
 
 from __future__ import annotations
 
@@ -13,6 +13,9 @@ from tripwire.llm import (
     toxicity, url_ratio, warc_chunks,
 )
 from tripwire.llm.common import table, text_of
+from tripwire.llm.oracle import oracle_sql
+
+__all__ = ["oracle_sql", "queries"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,6 +102,3 @@ def queries() -> dict[str, Query]:
         "pipeline": pipeline,
     }
 
-
-def oracle_sql() -> dict[str, str]:
-    return {}

@@ -116,6 +116,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> ToxicityMo
 
     sample = training_rows(docs, labels, "toxic", FOLDS, HELD_OUT, most).select("text", "label").coalesce(1)
     row = sample.mapInArrow(run, "features array<long>, weights array<double>, bias double").first()
+    if row is None:
+        return train([], np.zeros(0, int))
     return ToxicityModel(np.array(row["features"], int), np.array(row["weights"], float), row["bias"])
 
 
