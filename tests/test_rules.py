@@ -204,7 +204,7 @@ def test_existing_blanket(spark):
     found = evaluate(
         changes(spark, "order_header", update(ord_no=4, cli_id=8)), "order_header", tabs, ["EXISTING BLANKET"],
         {"blankets": Fact(
-            lambda t: facts.blanket_part_orders(t, blanket_live_only=False),
+            lambda t, keys: facts.blanket_part_orders(t, keys, blanket_live_only=False),
             {"ord_no": "new.ord_no"},
         )},
     )

@@ -21,7 +21,8 @@ class Lookup:
     ``source`` is the column of the alerts that holds the key. Where the key is
     not the table's primary key, ``order`` picks the row of a key that has
     several: the one with its smallest value. Primary keys are joined as they
-    are, which lets Spark prune the scan by the alerts' keys at run time.
+    are, which lets Spark prune the scan by the alerts' keys at run time; other
+    tables are cut to the alerts' keys before a row per key is chosen.
     """
 
     source: str
@@ -33,6 +34,8 @@ class Lookup:
     def __call__(self, alerts: DataFrame, tables: Tables) -> DataFrame:
         rows = tables[self.table]
         if self.order:
+            asked = alerts.select(F.col(self.source).cast(rows.schema[self.key].dataType).alias(self.key)).distinct()
+            rows = join_unique(rows, asked, self.key, "left_semi")
             rows = one_row_per_key(rows, self.key, list(self.attrs.values()), self.order)
         renamed = rows.select(
             F.col(self.key).alias("lookup_key"),
@@ -45,7 +48,7 @@ class Lookup:
 ORDER_CLIENT = Lookup("ord_no", "order_header", "ord_no", {"cli_id": "cli_id"})
 LINE_ORDER = Lookup("orl_id", "order_line", "orl_id", {"ord_no": "ord_no"})
 CLIENT_NAME = Lookup("cli_id", "client", "cli_id", {"client_name": "cli_name1"})
-PACKING_SLIP_ORDER = Lookup("inv_pckslp_no", "invoicing", "inv_pckslp_no", {"ord_no": "ord_no"})
+PACKING_SLIP_ORDER = Lookup("inv_pckslp_no", "invoicing", "inv_pckslp_no", {"ord_no": "ord_no"}, "inv_no")
 INVOICE_ORDER = Lookup("inv_no", "invoicing", "inv_no", {"ord_no": "ord_no"}, "inv_pckslp_no")
 TRANSACTION_PART = Lookup("ptn_id", "part_transaction", "ptn_id", {"part_no": "prt_no"})
 TRANSACTION_TEXT = Lookup("ptn_id", "part_transaction", "ptn_id", {"description": "ptn_desc"})
@@ -58,6 +61,21 @@ PO_SUPPLIER_ID = Lookup("puh_no", "purchase_order_header", "puh_no", {"sup_id":
 SUPPLIER_NAME = Lookup("sup_id", "supplier", "sup_id", {"supplier_name": "sup_name1"})
 PO_CREATOR = Lookup("puh_no", "purchase_order_header", "puh_no", {"creator": "usr_no"}, "puh_id")
 
+# Lookups by a key that is trusted to be unique in its table.
+BY_PRIMARY_KEY = [ORDER_CLIENT, LINE_ORDER, CLIENT_NAME, TRANSACTION_PART, PO_LINE_ORDER, PO_NUMBER, SUPPLIER_NAME]
+
+
+def repeated_keys(tables: Tables) -> DataFrame:
+    """``table, key, repeated``: how many values of each trusted key stand in several rows."""
+    found = [
+        tables[x.table].filter(F.col(x.key).isNotNull()).groupBy(x.key).count().filter("count > 1")
+        .agg(F.count("*").alias("repeated"))
+        .select(F.lit(x.table).alias("table"), F.lit(x.key).alias("key"), "repeated")
+        for x in BY_PRIMARY_KEY
+    ]
+    return reduce(DataFrame.union, found)
+
+
 # What each kind of reference leads to, in the order the lookups build on each other.
 BY_REFERENCE: dict[str, list[Lookup]] = {
     "ord_no": [ORDER_CLIENT, CLIENT_NAME],

@@ -3,6 +3,11 @@
 Each fact is an aggregate that Spark combines before its shuffle, so an order,
 part or client that holds a large share of the rows still reaches the shuffle
 as one row per task. Rules then join to a side that is unique on the join key.
+
+``keys`` holds the keys that the changes ask about, without repeats. Rows of
+other keys are dropped by a semi-join right after the scan, so a small batch of
+changes aggregates its own orders and not the whole table. Without ``keys`` a
+fact is computed for every key.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ from tripwire.functions.columns import (
     has_part,
     is_live,
 )
-from tripwire.functions.frames import join_unique, written
+from tripwire.functions.frames import join_unique
 from tripwire.operators.kits import kit_sizes
 
 Tables = Mapping[str, DataFrame]
@@ -37,7 +42,15 @@ REQUIRED_ACCESSORY = "AE750"
 LEAD_DAYS = 14
 
 
-def line_facts(tables: Tables) -> DataFrame:
+Keys = DataFrame | None
+
+
+def only(rows: DataFrame, keys: Keys, *on: str) -> DataFrame:
+    """The rows whose ``on`` columns are among ``keys``."""
+    return rows if keys is None else join_unique(rows, keys.select(*on), list(on), "left_semi")
+
+
+def line_facts(tables: Tables, keys: Keys = None) -> DataFrame:
     """Per order, what its lines say: one pass over the lines, one shuffle."""
     qty, reserved = F.col("orl_quantity"), F.col("orl_reserved_qty")
     shipped, ready = F.col("orl_ship_qty"), F.col("orl_qty_ready")
@@ -45,7 +58,7 @@ def line_facts(tables: Tables) -> DataFrame:
     unreserved = (qty != reserved) & (
         (qty != shipped) | (qty != ready + shipped + reserved) | (qty != shipped + reserved)
     )
-    return tables["order_line"].groupBy("ord_no").agg(
+    return only(tables["order_line"], keys, "ord_no").groupBy("ord_no").agg(
         any_true(qty - ready != 0).alias("has_unready_line"),
         any_true((qty == 0) & named).alias("has_zero_line"),
         F.count_if(named).alias("named_lines"),
@@ -57,7 +70,7 @@ def line_facts(tables: Tables) -> DataFrame:
     )
 
 
-def part_facts(tables: Tables) -> DataFrame:
+def part_facts(tables: Tables, keys: Keys = None) -> DataFrame:
     """Per order, whether its part numbers need the accessory or a truck.
 
     Only the part numbers that carry a flag enter the join, and only two line
@@ -75,8 +88,9 @@ def part_facts(tables: Tables) -> DataFrame:
         .groupBy("prt_no")
         .agg(any_true(F.col("asv")).alias("asv"), any_true(F.col("truck")).alias("truck"))
     )
+    lines = only(tables["order_line"].select("ord_no", "prt_no"), keys, "ord_no")
     return (
-        join_unique(tables["order_line"].select("ord_no", "prt_no"), flags, "prt_no")
+        join_unique(lines, flags, "prt_no")
         .groupBy("ord_no")
         .agg(
             any_true(F.col("asv")).alias("needs_accessory"),
@@ -91,7 +105,7 @@ def order_facts(tables: Tables) -> DataFrame:
 
 
 def short_lead_orders(
-    tables: Tables, exempt: list[str] | None = None, lead_days: int = LEAD_DAYS
+    tables: Tables, keys: Keys = None, exempt: list[str] | None = None, lead_days: int = LEAD_DAYS
 ) -> DataFrame:
     """Live orders with a line due before the lead time is over.
 
@@ -102,52 +116,58 @@ def short_lead_orders(
     bound_parts = tables["part"].select("prt_id", "pgr_id").join(
         tables["part_group"].filter(~F.col("pgr_no").isin(exempt)).select("pgr_id"), "pgr_id", "left_semi"
     )
+    header = only(
+        tables["order_header"].filter(is_live(F.col("ord_status"))).select("ord_id", "ord_no", "ord_date"),
+        keys, "ord_no",
+    )
+    touched = None if keys is None else header.select("ord_id").distinct()
+    lines = tables["order_line"].filter(F.col("orl_req_dt").isNotNull()).select("ord_id", "prt_id", "orl_req_dt")
     earliest = (
-        tables["order_line"].filter(F.col("orl_req_dt").isNotNull())
-        .select("ord_id", "prt_id", "orl_req_dt")
+        only(lines, touched, "ord_id")
         .join(bound_parts.select("prt_id"), "prt_id", "left_semi")
         .groupBy("ord_id").agg(F.min("orl_req_dt").alias("earliest"))
     )
     return (
-        tables["order_header"].filter(is_live(F.col("ord_status")))
-        .select("ord_id", "ord_no", "ord_date")
-        .join(earliest, "ord_id")
+        header.join(earliest, "ord_id")
         .filter(F.col("earliest") < F.date_add("ord_date", lead_days))
         .select("ord_no").distinct()
         .withColumn("has_short_lead", F.lit(True))
     )
 
 
-def blanket_part_orders(tables: Tables, blanket_live_only: bool = True) -> DataFrame:
+def blanket_part_orders(tables: Tables, keys: Keys = None, blanket_live_only: bool = True) -> DataFrame:
     """Plain orders, and their client, with a part that another, blanket order of the client holds.
 
     "Another order" needs no pairing of orders: per client and part the lowest
     and highest blanket number tell whether one differs from the order's own.
+    Besides the orders asked about, only blankets of their clients are read.
     """
-    named = (
-        tables["order_line"].filter(has_part(F.col("prt_no"))).select("ord_no", "prt_no").distinct()
-    )
     header = tables["order_header"].select("ord_no", "cli_id", "ord_type", "ord_status")
+    orders = only(header, keys, "ord_no").filter(F.col("ord_type") == ORDER_TYPE_ORDER).select("ord_no", "cli_id")
     blankets = header.filter(F.col("ord_type") == ORDER_TYPE_BLANKET)
     if blanket_live_only:
         blankets = blankets.filter(is_live(F.col("ord_status")))
+    if keys is not None:
+        blankets = only(blankets, orders.select("cli_id").distinct(), "cli_id")
+    lines = tables["order_line"].filter(has_part(F.col("prt_no"))).select("ord_no", "prt_no")
+    touched = None if keys is None else blankets.select("ord_no").distinct()
     held = (
-        named.join(blankets, "ord_no")
+        only(lines, touched, "ord_no").distinct().join(blankets, "ord_no")
         .groupBy("cli_id", "prt_no")
         .agg(F.min("ord_no").alias("low"), F.max("ord_no").alias("high"))
     )
-    orders = header.filter(F.col("ord_type") == ORDER_TYPE_ORDER).select("ord_no", "cli_id")
+    asked = only(lines, keys, "ord_no").distinct().join(orders, "ord_no")
     return (
-        join_unique(named.join(orders, "ord_no"), held, ["cli_id", "prt_no"])
+        join_unique(asked, held, ["cli_id", "prt_no"])
         .filter(other_than(F.col("ord_no")))
         .groupBy("ord_no").agg(F.min("cli_id").alias("blanket_cli_id"))
     )
 
 
-def client_po_numbers(tables: Tables) -> DataFrame:
+def client_po_numbers(tables: Tables, keys: Keys = None) -> DataFrame:
     """Per invoiced client and client order number, the lowest and highest order."""
     return (
-        tables["order_header"].filter(F.col("ord_cli_ord_no") != "")
+        only(tables["order_header"].filter(F.col("ord_cli_ord_no") != ""), keys, "inv_cli_id", "ord_cli_ord_no")
         .groupBy("inv_cli_id", "ord_cli_ord_no")
         .agg(F.min("ord_no").alias("low"), F.max("ord_no").alias("high"))
     )
@@ -158,26 +178,29 @@ def other_than(own: Column) -> Column:
     return (F.col("low") != own) | (F.col("high") != own)
 
 
-def missing_component_orders(tables: Tables) -> DataFrame:
+def missing_component_orders(tables: Tables, keys: Keys = None) -> DataFrame:
     """Orders with a top-level kit line that lacks one of the kit's components.
 
     The lines under a kit line are counted against the size of the kit; kit
     contents are never multiplied out. A line without a part under the kit line
     leaves the answer unknown there, which raises nothing; a kit line with no
     lines under it lacks everything. Under one kit line a part counts once, so
-    no kit line brings more rows to a join than there are parts.
+    no kit line brings more rows to a join than there are parts. The lines under
+    a kit line are found by its id, whatever order they are on.
     """
     lines = tables["order_line"]
     kit_parts = tables["part_kit"].select(
         F.col("pkt_master_prt_id").alias("master"), F.col("prt_id").alias("under_prt_id")
     ).distinct().withColumn("in_kit", F.lit(True))
-    top_level = lines.filter(F.col("orl_kitmaster_id") == 0).select(
+    top_level = only(lines.filter(F.col("orl_kitmaster_id") == 0), keys, "ord_no").select(
         "ord_no", F.col("orl_id").alias("parent_id"), F.col("prt_id").alias("master")
     )
     parents = join_unique(top_level, kit_sizes(tables), "master")
-    under = lines.filter(F.col("orl_kitmaster_id") != 0).select(
+    asked = None if keys is None else parents.select("parent_id").distinct()
+    below = lines.filter(F.col("orl_kitmaster_id") != 0).select(
         F.col("orl_kitmaster_id").alias("parent_id"), F.col("prt_id").alias("under_prt_id")
-    ).distinct().withColumn("is_line", F.lit(True))
+    )
+    under = only(below, asked, "parent_id").distinct().withColumn("is_line", F.lit(True))
     return (
         join_unique(parents.join(under, "parent_id", "left"), kit_parts, ["master", "under_prt_id"], "left")
         .groupBy("parent_id", "ord_no", "components")
@@ -195,123 +218,92 @@ def missing_component_orders(tables: Tables) -> DataFrame:
     )
 
 
-def off_ratio_orders(tables: Tables) -> DataFrame:
+def off_ratio_orders(tables: Tables, keys: Keys = None) -> DataFrame:
     """Orders with a component whose quantity is off against a kit on the order.
 
-    The kit may be the part of *any* line of the order, which makes a triangle
-    of lines, parts on the order and kit contents. Two exact shortcuts leave
-    few lines for it: the lowest and highest ratio of a component over all kits
-    clear most lines, and the line's own parent settles most of the rest. What
-    remains is matched from whichever side has fewer rows for that line, the
-    kits that hold the component or the kits on the order.
+    The kit may be the part of *any* line of the order. Of all kits on an order
+    only the lowest and highest ratio of a component matter: if both give the
+    line's quantity, every one between does. So the contents of the kits on an
+    order shrink to one row per component before the lines meet them. A kit's
+    contents are one row, so a kit on very many orders can be split.
     """
-    lines = tables["order_line"].select("ord_no", "orl_id", "prt_id", "orl_quantity", "orl_kitmaster_id")
-    kit = tables["part_kit"].select(F.col("pkt_master_prt_id").alias("master"), "prt_id", "pkt_qty").distinct()
-    qty, parent_qty = F.col("orl_quantity"), F.col("parent_qty")
-
-    ratios = kit.groupBy("prt_id").agg(
-        F.min("pkt_qty").alias("low"), F.max("pkt_qty").alias("high"), F.count("*").alias("kits_with_it")
+    lines = only(
+        tables["order_line"].select("ord_no", "orl_id", "prt_id", "orl_quantity", "orl_kitmaster_id"),
+        keys, "ord_no",
+    )
+    contents = (
+        tables["part_kit"].groupBy(F.col("pkt_master_prt_id").alias("master"), "prt_id")
+        .agg(F.min("pkt_qty").alias("low"), F.max("pkt_qty").alias("high"))
+        .groupBy("master").agg(F.collect_list(F.struct("prt_id", "low", "high")).alias("parts"))
+    )
+    kits_on_order = lines.select("ord_no", F.col("prt_id").alias("master")).distinct()
+    ratios = (
+        join_unique(kits_on_order, contents, "master").select("ord_no", F.inline("parts"))
+        .groupBy("ord_no", "prt_id").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     )
     parents = lines.select(
-        "ord_no", F.col("orl_id").alias("orl_kitmaster_id"),
-        F.col("orl_quantity").alias("parent_qty"), F.col("prt_id").alias("parent_prt_id"),
+        "ord_no", F.col("orl_id").alias("orl_kitmaster_id"), F.col("orl_quantity").alias("parent_qty")
     )
     components = lines.filter(F.col("orl_kitmaster_id") != 0).join(parents, ["ord_no", "orl_kitmaster_id"])
-    suspects = (
-        join_unique(components, ratios, "prt_id")
+    qty, parent_qty = F.col("orl_quantity"), F.col("parent_qty")
+    return (
+        join_unique(components.select("ord_no", "prt_id", "orl_quantity", "parent_qty"), ratios, ["ord_no", "prt_id"])
         .filter((F.col("low") * parent_qty != qty) | (F.col("high") * parent_qty != qty))
-        .select("ord_no", "prt_id", "parent_prt_id", "parent_qty", "orl_quantity", "kits_with_it")
-        .distinct()
-    )
-
-    # The parent's own part is always on the order.
-    own = kit.groupBy(F.col("master").alias("parent_prt_id"), "prt_id").agg(
-        F.min("pkt_qty").alias("own_low"), F.max("pkt_qty").alias("own_high")
-    )
-    off_own = (F.col("own_low") * parent_qty != qty) | (F.col("own_high") * parent_qty != qty)
-    # Few lines get here. Written once, they are a table of known size to the rest.
-    judged = written(
-        join_unique(suspects, own, ["parent_prt_id", "prt_id"], "left")
-        .withColumn("off_own", F.coalesce(off_own, F.lit(False)))
-        .drop("own_low", "own_high", "parent_prt_id")
-    )
-    settled = judged.filter("off_own").select("ord_no").distinct().withColumn("has_off_ratio", F.lit(True))
-    open_lines = judged.filter("not off_own")
-    if open_lines.isEmpty():
-        return settled
-
-    kits_on_order = (
-        join_unique(
-            lines.select("ord_no", F.col("prt_id").alias("master")),
-            open_lines.select("ord_no").distinct(), "ord_no", "left_semi",
-        )
-        .distinct()
-        .join(kit.select("master"), "master", "left_semi")
-    )
-    sized = join_unique(
-        open_lines, kits_on_order.groupBy("ord_no").agg(F.count("*").alias("kits_on_order")), "ord_no"
-    )
-    few_kits_with_it = F.col("kits_with_it") <= F.col("kits_on_order")
-    off = F.col("pkt_qty") * parent_qty != qty
-    by_component = join_unique(
-        sized.filter(few_kits_with_it).join(kit, "prt_id").filter(off),
-        kits_on_order, ["ord_no", "master"], "left_semi",
-    )
-    by_order = (
-        sized.filter(~few_kits_with_it)
-        .join(kits_on_order, "ord_no")
-        .join(kit, ["master", "prt_id"]).filter(off)
+        .select("ord_no").distinct()
+        .withColumn("has_off_ratio", F.lit(True))
     )
-    others = by_component.select("ord_no").union(by_order.select("ord_no"))
-    return settled.union(others.distinct().withColumn("has_off_ratio", F.lit(True))).distinct()
 
 
-def unrun_lots(tables: Tables) -> DataFrame:
+def unrun_lots(tables: Tables, keys: Keys = None) -> DataFrame:
     """Order lines with a planning lot that is not adjusted yet."""
     return (
-        tables["planning_lot_quantity"].filter(~F.col("plq_adj_flag")).select("orl_id").distinct()
+        only(tables["planning_lot_quantity"], keys, "orl_id").filter(~F.col("plq_adj_flag")).select("orl_id").distinct()
         .withColumn("has_unrun_lot", F.lit(True))
     )
 
 
-def manufactured_stock(tables: Tables) -> DataFrame:
+def manufactured_stock(tables: Tables, keys: Keys = None) -> DataFrame:
     """Per manufactured part, its stock and what open lots have reserved.
 
     A part without an open row has no sum, hence no row here.
     """
     reserved = (
-        tables["planning_lot_detailed"].filter(~F.col("pld_adj_flag"))
+        only(tables["planning_lot_detailed"].filter(~F.col("pld_adj_flag")), keys, "prt_id")
         .groupBy("prt_id").agg(F.sum("pld_qty_res").alias("open_reserved"))
     )
     masters = tables["bill_of_materials_mat"].select(F.col("prt_master_id").alias("prt_id"))
     return (
-        tables["part_quantity"].groupBy("prt_id").agg(F.min("pqt_real_qty").alias("stock"))
+        only(tables["part_quantity"], keys, "prt_id").groupBy("prt_id").agg(F.min("pqt_real_qty").alias("stock"))
         .join(masters, "prt_id", "left_semi")
         .join(reserved, "prt_id")
     )
 
 
-def lot_flags(tables: Tables) -> DataFrame:
-    return tables["planning_lot_quantity"].groupBy("plq_id").agg(
+def lot_flags(tables: Tables, keys: Keys = None) -> DataFrame:
+    return only(tables["planning_lot_quantity"], keys, "plq_id").groupBy("plq_id").agg(
         F.min("plq_adj_flag").alias("lot_adjusted")
     )
 
 
-def lots_with_components(tables: Tables) -> DataFrame:
+def lots_with_components(tables: Tables, keys: Keys = None) -> DataFrame:
     return (
-        tables["planning_lot_detailed"].filter(F.col("pld_lvl") > 0).select("plq_lot_no").distinct()
+        only(tables["planning_lot_detailed"], keys, "plq_lot_no").filter(F.col("pld_lvl") > 0).select("plq_lot_no").distinct()
         .withColumn("lot_has_components", F.lit(True))
     )
 
 
-def purchase_suppliers(tables: Tables) -> DataFrame:
-    return tables["purchase_order_header"].groupBy("puh_id").agg(F.min("sup_id").alias("sup_id"))
+def purchase_suppliers(tables: Tables, keys: Keys = None) -> DataFrame:
+    return only(tables["purchase_order_header"], keys, "puh_id").groupBy("puh_id").agg(F.min("sup_id").alias("sup_id"))
 
 
-def known_suppliers(tables: Tables) -> DataFrame:
+def known_suppliers(tables: Tables, keys: Keys = None) -> DataFrame:
     """The suppliers set up for each part number."""
+    asked = None if keys is None else keys.select("prt_no").distinct()
+    parts = only(tables["part"].select("prt_id", "prt_no"), asked, "prt_no")
+    suppliers = tables["part_supplier"].select("prt_id", "sup_id")
+    if keys is not None:
+        suppliers = only(suppliers, parts.select("prt_id").distinct(), "prt_id")
     return (
-        tables["part_supplier"].join(tables["part"].select("prt_id", "prt_no"), "prt_id")
-        .select("prt_no", "sup_id").distinct()
+        suppliers.join(parts, "prt_id").select("prt_no", "sup_id").distinct()
         .withColumn("supplier_known", F.lit(True))
     )

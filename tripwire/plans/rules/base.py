@@ -62,14 +62,20 @@ class Fact:
     """A table with one row per key, joined to the changes on ``on``.
 
     ``on`` maps the fact's key columns to columns of the change row. The key
-    columns do not survive the join; all others do.
+    columns do not survive the join; all others do. ``build`` gets the tables
+    and the keys asked about, one row each.
     """
 
-    build: Callable[[Tables], DataFrame]
+    build: Callable[[Tables, DataFrame | None], DataFrame]
     on: dict[str, str]
 
     def attach(self, changes: DataFrame, tables: Tables) -> DataFrame:
-        return join_fact(changes, self.build(tables), self.on)
+        return join_fact(changes, self.build(tables, asked_keys(changes, self.on)), self.on)
+
+
+def asked_keys(changes: DataFrame, on: dict[str, str]) -> DataFrame:
+    """The keys that the changes ask about, combined before the shuffle."""
+    return changes.select(*[F.col(source).alias(key) for key, source in on.items()]).distinct()
 
 
 def join_fact(changes: DataFrame, fact: DataFrame, on: dict[str, str]) -> DataFrame:
@@ -91,6 +97,7 @@ def attach_facts(changes: DataFrame, facts: list[Fact], tables: Tables) -> DataF
         if type(fact) is not Fact:
             changes = fact.attach(changes, tables)
         elif alike[0] is fact:
-            merged = merge_by_key([f.build(tables) for f in alike], list(fact.on))
+            keys = asked_keys(changes, fact.on)
+            merged = merge_by_key([f.build(tables, keys) for f in alike], list(fact.on))
             changes = join_fact(changes, merged, fact.on)
     return changes

@@ -10,8 +10,8 @@ from tripwire.operators import facts
 from tripwire.plans.rules.base import INSERT, Fact, Rule, Tables, becomes, new
 
 
-def _back_order_flags(tables: Tables):
-    return one_row_per_key(tables["order_header"], "ord_no", ["ord_bo_accptd"])
+def _back_order_flags(tables: Tables, keys: facts.Keys = None):
+    return one_row_per_key(facts.only(tables["order_header"], keys, "ord_no"), "ord_no", ["ord_bo_accptd"])
 
 
 FACTS = {
