@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tripwire.operators.suppress import accepted_times, is_duplicate, last_logged, suppress
+from tripwire.operators.suppress import accepted_times, is_duplicate, suppress
 from tripwire.schemas import ALERT_KEY
 from tripwire.streaming.suppress_stream import judge
 
@@ -72,11 +72,31 @@ def test_null_key_or_time_is_never_a_duplicate(spark):
     assert out == {0: "accepted", 1: "duplicate", 2: "accepted", 3: "accepted", 4: "accepted"}
 
 
-def test_seed_from_the_log(spark):
+def test_against_a_log(spark):
     log = alerts(spark, [("A", START), ("A", START - HOUR), ("Z", START)])
     events = [("A", START - timedelta(minutes=5)), ("A", START), ("A", START + timedelta(minutes=59)), ("A", START + HOUR), ("B", START)]
-    out = {r.n: r.disposition for r in suppress(alerts(spark, events), seed=last_logged(log)).collect()}
-    assert out == {0: "late", 1: "accepted", 2: "duplicate", 3: "accepted", 4: "accepted"}
+    out = {r.n: r.disposition for r in suppress(alerts(spark, events), log=log).collect()}
+    assert out == {0: "duplicate", 1: "accepted", 2: "duplicate", 3: "accepted", 4: "accepted"}
+
+
+def test_a_log_of_later_dates_blocks_nothing_before_it(spark):
+    log = alerts(spark, [("A", START + timedelta(hours=5)), (None, START)])
+    events = [("A", START), ("A", START + timedelta(minutes=30)), ("A", START + timedelta(hours=5, minutes=30)), (None, START)]
+    out = {r.n: r.disposition for r in suppress(alerts(spark, events), log=log).collect()}
+    assert out == {0: "accepted", 1: "duplicate", 2: "duplicate", 3: "accepted"}
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("AB"), st.integers(0, 40)), min_size=1, max_size=40),
+       st.lists(st.tuples(st.sampled_from("ABC"), st.integers(0, 40)), min_size=1, max_size=10))
+def test_random_events_against_a_log(spark, raw, logged):
+    events, log = ([(k, START + timedelta(minutes=10 * t)) for k, t in x] for x in (raw, logged))
+    kept, want = list(log), set()
+    for i, (key, ts) in sorted(enumerate(events), key=lambda e: (e[1][1], e[0])):
+        if not any(k == key and ts - HOUR < t < ts for k, t in kept):
+            kept.append((key, ts))
+            want.add(i)
+    assert kept_by_spark(spark, events, log=alerts(spark, log)) == want
 
 
 def test_probe(spark):

@@ -36,6 +36,7 @@ from tripwire.schemas import ALERT_KEY
 HOUR = 3600
 FOLD_ROWS = 5_000
 
+# LATE is for streams: earlier than what has been judged already.
 ACCEPTED, DUPLICATE, LATE = "accepted", "duplicate", "late"
 
 
@@ -72,42 +73,35 @@ def is_duplicate(
 
 
 def last_logged(log: DataFrame, key: list[str] = ALERT_KEY, ts: str = "time_stamp") -> DataFrame:
-    """Per alert, the last time the log holds: where suppression resumes."""
+    """Per alert, the last time the log holds."""
     return log.groupBy(*key).agg(F.max(ts).alias(ts))
 
 
 def suppress(
     candidates: DataFrame, key: list[str] = ALERT_KEY, ts: str = "time_stamp",
-    window_seconds: int = HOUR, seed: DataFrame | None = None, fold_rows: int = FOLD_ROWS,
+    window_seconds: int = HOUR, log: DataFrame | None = None, fold_rows: int = FOLD_ROWS,
 ) -> DataFrame:
-    """Adds ``disposition``: accepted, duplicate, or late.
+    """Adds ``disposition``: accepted or duplicate.
 
-    ``seed`` is ``last_logged`` of an existing log; its times count as accepted.
-    A candidate earlier than its seed is late: the reference order of events has
-    passed it. Rows with a null in the key or time equal nothing, so none of
-    them is a duplicate.
+    ``log`` holds alerts logged before. A candidate with a logged copy less than
+    a window earlier is a duplicate and delays nothing; the others are judged
+    among themselves. Logged copies of any time count, so candidates of the
+    past are judged by the log as it was around them. Rows with a null in the
+    key or time equal nothing, so none of them is a duplicate.
     """
     width = window_seconds * MICROS
     comparable = reduce(lambda a, c: a & F.col(c).isNotNull(), [*key, ts], F.lit(True))
-    rows = candidates.withColumn("at", wall_micros(F.col(ts)))
-    points = rows.filter(comparable).select(*key, "at")
-    late = F.lit(False)
-    if seed is not None:
-        seeds = seed.select(*key, wall_micros(F.col(ts)).alias("seeded"))
-        rows = join_unique(rows, seeds, key, "left")
-        late = F.coalesce(F.col("at") < F.col("seeded"), F.lit(False))
-        points = rows.filter(comparable & ~late).select(*key, "at").union(
-            seeds.select(*key, F.col("seeded").alias("at"))
-        )
-
+    rows = candidates.withColumn("blocked", F.lit(False))
+    if log is not None:
+        known = join_unique(log, candidates.select(*key).distinct(), key, "left_semi")
+        rows = is_duplicate(candidates, known, key, ts, window_seconds).withColumnRenamed("is_duplicate", "blocked")
+    rows = rows.withColumn("at", wall_micros(F.col(ts)))
+    points = rows.filter(comparable & ~F.col("blocked")).select(*key, "at")
     accepted = accepted_times(points, key, width, fold_rows).withColumn("is_accepted", F.lit(True))
-    verdict = (
-        F.when(~comparable, ACCEPTED).when(late, LATE)
-        .when(F.col("is_accepted"), ACCEPTED).otherwise(DUPLICATE)
-    )
+    passed = ~comparable | (F.coalesce("is_accepted", F.lit(False)) & ~F.col("blocked"))
     return (
         join_unique(rows, accepted, [*key, "at"], "left")
-        .withColumn("disposition", verdict)
+        .withColumn("disposition", F.when(passed, ACCEPTED).otherwise(DUPLICATE))
         .select(*candidates.columns, "disposition")
     )
 

@@ -1,17 +1,19 @@
 """Suppression as a stateful streaming operator.
 
-The state of an alert is the time of its last accepted copy. It expires once
-the watermark is a window past it. Rows earlier than the state's time cannot be
-judged any more and come out as late.
+The state of an alert is the time of its last accepted copy. Rows earlier than
+the state's time cannot be judged any more and come out as late.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import timedelta
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -43,14 +45,18 @@ def judge(times: np.ndarray, last: int | None, width: int) -> tuple[np.ndarray,
 
 def suppress_stream(
     alerts: DataFrame, key: list[str] = ALERT_KEY, ts: str = "time_stamp",
-    window_seconds: int = HOUR, delay: str = "10 minutes",
+    window_seconds: int = HOUR, idle: timedelta | None = None,
 ) -> DataFrame:
-    """Adds ``disposition`` to a stream of alerts.
+    """Adds ``disposition`` to a stream of alerts; every row comes out once.
 
-    ``ts`` must be a TIMESTAMP column, as watermarks need one; read zone-less
-    times in a UTC session. One micro-batch of one alert is sorted in memory:
-    bound the source's trigger, or use ``streaming.live`` where an alert can
-    fill a batch.
+    No watermark is set, as Spark drops rows behind it. With ``idle`` the state
+    of an alert goes once nothing was heard of it for so much wall-clock time; a
+    source must not lag by more, and the query never ends by itself, as Spark
+    keeps running batches to look for timeouts. Without, there is one number of
+    state for each alert ever seen. Rows with a null in the key or time equal
+    nothing and pass by the state. One micro-batch of one alert is sorted in
+    memory: bound the source's trigger, or use ``streaming.live`` where an alert
+    can fill a batch.
     """
     schema = T.StructType(list(alerts.schema.fields) + [T.StructField("disposition", T.StringType())])
     columns = alerts.columns
@@ -65,12 +71,13 @@ def suppress_stream(
         last = state.get[0] if state.exists else None
         rows["disposition"], last = judge(micros, last, width)
         state.update((last,))
-        expires = (last + width) // 1000 + 1
-        state.setTimeoutTimestamp(max(expires, state.getCurrentWatermarkMs() + 1))
+        if idle:
+            state.setTimeoutDuration(int(idle.total_seconds() * 1000))
         yield rows[[*columns, "disposition"]]
 
-    return (
-        alerts.withWatermark(ts, delay)
-        .groupBy(*key)
-        .applyInPandasWithState(on_group, schema, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    comparable = reduce(lambda a, c: a & F.col(c).isNotNull(), [*key, ts], F.lit(True))
+    judged = alerts.filter(comparable).groupBy(*key).applyInPandasWithState(
+        on_group, schema, STATE, "append",
+        GroupStateTimeout.ProcessingTimeTimeout if idle else GroupStateTimeout.NoTimeout,
     )
+    return judged.unionByName(alerts.filter(~comparable).withColumn("disposition", F.lit(ACCEPTED)))
