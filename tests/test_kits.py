@@ -1,10 +1,7 @@
-"""Kit and blanket functions, their reports, and pages of long lists."""
-
-from pyspark.sql import functions as F
+"""Kit and blanket functions and their reports."""
 
 from tests.builders import tables
 from tripwire.operators import kits
-from tripwire.operators.paging import paged
 
 
 def line(orl_id, prt_id, qty, parent=0, ord_no=1, prt_no=None, idx=None):
@@ -45,7 +42,7 @@ def test_only_asked_orders(spark):
 
 def as_lists(report):
     return {
-        (r.ord_no, r.page): [(k.orl_sort_idx, k.prt_no, [tuple(x) for x in k.lines]) for k in r.kits]
+        r.ord_no: [(k.orl_sort_idx, k.prt_no, [tuple(x) for x in k.lines]) for k in r.kits]
         for r in report.collect()
     }
 
@@ -53,11 +50,11 @@ def as_lists(report):
 def test_reports_nest_lines_in_order(spark):
     tabs = shop(spark)
     assert as_lists(kits.missing_component_report(tabs)) == {
-        (1, 1): [(10, "P500", [(11, "P1"), (12, "P2")]), (20, "P600", [])],
-        (2, 1): [(40, "P500", [(41, "P1")])],
-        (3, 1): [(50, "P600", [])],
+        1: [(10, "P500", [(11, "P1"), (12, "P2")]), (20, "P600", [])],
+        2: [(40, "P500", [(41, "P1")])],
+        3: [(50, "P600", [])],
     }
-    assert as_lists(kits.multiplier_report(tabs))[(1, 1)] == [(10, "P500", [(11, "P1", 8)]), (20, "P600", [])]
+    assert as_lists(kits.multiplier_report(tabs))[1] == [(10, "P500", [(11, "P1", 8)]), (20, "P600", [])]
     assert {r.ord_no for r in kits.confirmed_multiplier_orders(tabs).collect()} == {1, 2}
 
 
@@ -81,30 +78,12 @@ def test_existing_blankets_keep_every_row(spark):
         blanket_orders=[dict(prt_no="A", ord_no=9, cli_no="C7"), dict(prt_no="A", ord_no=9, cli_no="C7"),
                         dict(prt_no="B", ord_no=9, cli_no="C7"), dict(prt_no="A", ord_no=5, cli_no="C6")],
     )
-    assert [tuple(r) for r in kits.existing_blankets(tabs).collect()] == [(1, "A", 9), (1, "A", 9)]
-
-
-def test_long_lists_are_paged_and_whole(spark):
-    rows = spark.range(3000).select(
-        F.when(F.col("id") < 2500, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 7)).alias("k"),
-        F.when(F.col("id") < 1000, 5).otherwise(F.col("id")).cast("long").alias("idx"), F.col("id").alias("line"),
-    )
-    out = paged(rows, "k", "idx", ["idx", "line"], page_rows=100)
-    assert out.select("line").distinct().count() == out.count() == 3000
-    sizes = {(r.k, r.page): r["count"] for r in out.groupBy("k", "page").count().collect()}
-    assert max(sizes.values()) < 200
-    assert [p for k, p in sizes if k == "k1"] == [1]
-    # pages follow the order of the list
-    spans = out.filter("k = 'hot' and idx >= 1000").groupBy("page").agg(F.min("idx").alias("a"), F.max("idx").alias("b")).orderBy("page").collect()
-    assert all(x.b < y.a for x, y in zip(spans, spans[1:]))
+    assert [tuple(r) for r in kits.existing_blankets(tabs, tabs["order_header"]).collect()] == [(1, "A", 9), (1, "A", 9)]
 
 
-def test_a_paged_report_loses_nothing(spark):
+def test_quantities_of_a_long_kit_line(spark):
     lines = [line(1, 500, 1, ord_no=1)] + [line(i, 1, 5, 1, ord_no=1) for i in range(2, 502)]
     tabs = tables(spark, part_kit=[dict(pkt_master_prt_id=500, prt_id=1, pkt_qty=2)], order_line=lines)
-    report = kits.multiplier_report(tabs, page_rows=50)
-    pages = report.collect()
-    assert len(pages) > 5 and {r.pages for r in pages} == {max(r.page for r in pages)}
-    seen = [x.orl_sort_idx for r in pages for k in r.kits for x in k.lines]
-    assert sorted(seen) == list(range(2, 502))
-    assert all(k.prt_no == "P500" for r in pages for k in r.kits)
+    [report] = kits.multiplier_report(tabs).collect()
+    assert [x.orl_sort_idx for k in report.kits for x in k.lines] == list(range(2, 502))
+    assert [k.prt_no for k in report.kits] == ["P500"]

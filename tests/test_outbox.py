@@ -154,15 +154,42 @@ def test_lists(spark):
     assert ("EXISTING BLANKET", "2") in out
 
 
-def test_a_long_list_becomes_several_messages(spark):
+def long_list(spark):
     tabs = shop(spark)
     tabs["blanket_orders"] = spark.range(900).select(
-        F.lit("P1").alias("prt_no"), F.col("id").alias("ord_no"), F.lit("C7").alias("cli_no"))
-    rows = enrich.enrich(logged(spark, ("EXISTING BLANKET", "ord_no", "1")), tabs)
-    out = outbox.outbox(rows, tabs, ROUTING, page_rows=300).orderBy("page").collect()
-    assert [(r.page, r.pages) for r in out] == [(1, 3), (2, 3), (3, 3)]
-    assert out[0].subject.endswith("(part 1 of 3)")
-    assert sum(r.body.count("in blanket order") for r in out) == 900
+        F.lit("P1").alias("prt_no"), (F.col("id") % 450 * 10_000).alias("ord_no"), F.lit("C7").alias("cli_no"))
+    return tabs, enrich.enrich(logged(spark, ("EXISTING BLANKET", "ord_no", "1"), ("NEW BLANKET", "ord_no", "1")), tabs)
+
+
+def test_a_long_list_is_one_message(spark):
+    tabs, rows = long_list(spark)
+    out = {r.alert: r for r in outbox.outbox(rows, tabs, ROUTING).collect()}
+    assert len(out) == 2 and out["EXISTING BLANKET"].body.count("in blanket order") == 900
+    apart = {r.alert: r for r in outbox.outbox(rows, tabs, ROUTING, inline_lists=False).collect()}
+    assert "outbox lines of order 1." in apart["EXISTING BLANKET"].body and len(apart) == 2
+
+
+def test_lines_are_numbered_across_partitions(spark):
+    tabs, rows = long_list(spark)
+    lines = outbox.list_lines(rows, tabs).orderBy("line_no").collect()
+    assert [r.line_no for r in lines] == list(range(1, 901)) and {(r.alert, r.ord_no) for r in lines} == {("EXISTING BLANKET", 1)}
+    numbers = [int(r.text.rsplit(" ", 1)[1]) for r in lines]
+    assert numbers == sorted(numbers) and len(set(numbers)) == 450
+
+
+def test_a_repeated_packing_slip_gives_one_message(spark):
+    tabs = shop(spark)
+    tabs["invoicing"] = tables(spark, invoicing=[
+        dict(inv_no=6, inv_pckslp_no=50, ord_no=2), dict(inv_no=5, inv_pckslp_no=50, ord_no=1)])["invoicing"]
+    out = enrich.enrich(logged(spark, ("CANCELLED PACKING SLIP", "inv_pckslp_no", "50")), tabs).collect()
+    assert [r.ord_no for r in out] == [1]
+
+
+def test_repeated_keys_are_counted(spark):
+    tabs = {**tables(spark, **{x.table: [] for x in enrich.BY_PRIMARY_KEY}), **{
+        "client": tables(spark, client=[dict(cli_id=1), dict(cli_id=1), dict(cli_id=2), dict(cli_id=None)])["client"]}}
+    found = {(r.table, r.key): r.repeated for r in enrich.repeated_keys(tabs).collect()}
+    assert found.pop(("client", "cli_id")) == 1 and set(found.values()) == {0}
 
 
 @pytest.mark.parametrize("text, want", [

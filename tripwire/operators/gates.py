@@ -56,14 +56,18 @@ def gate_multipliers(enriched: DataFrame, tables: Tables) -> DataFrame:
     )
 
 
+def confirm_multipliers(gated: DataFrame, tables: Tables, names: set[str] | None = None) -> DataFrame:
+    """Judge component-multiplier alerts again, by their order's lines."""
+    if names is not None and MULTIPLIER not in names:
+        return gated
+    is_multiplier = F.coalesce(F.col("alert") == MULTIPLIER, F.lit(False))
+    judged = gate_multipliers(gated.filter(is_multiplier).drop("disposition"), tables)
+    return gated.filter(~is_multiplier).unionByName(judged)
+
+
 def gate(enriched: DataFrame, tables: Tables, names: set[str] | None = None) -> DataFrame:
     """Adds ``disposition``: accepted, gated or unhandled.
 
     ``names`` holds the alerts that can occur, where the caller knows.
     """
-    if names is not None and MULTIPLIER not in names:
-        return gate_by_columns(enriched)
-    is_multiplier = F.coalesce(F.col("alert") == MULTIPLIER, F.lit(False))
-    return gate_by_columns(enriched.filter(~is_multiplier)).union(
-        gate_multipliers(enriched.filter(is_multiplier), tables)
-    )
+    return confirm_multipliers(gate_by_columns(enriched), tables, names)

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from tripwire.functions.columns import any_true
 from tripwire.functions.frames import join_unique, written
-from tripwire.operators.paging import PAGE_ROWS, paged
 
 Tables = Mapping[str, DataFrame]
 
@@ -67,10 +66,11 @@ def kit_quantity_errors(tables: Tables, orders: DataFrame | None = None) -> Data
     kit = tables["part_kit"].select(
         F.col("pkt_master_prt_id").alias("master"), "prt_id", "pkt_qty"
     ).distinct()
-    parents = lines.select(
+    masters = kit.select("master").distinct()
+    parents = join_unique(lines.select(
         "ord_no", F.col("orl_id").alias("parent_id"), F.col("prt_id").alias("master"),
         F.col("orl_quantity").alias("parent_qty"),
-    )
+    ), masters, "master", "left_semi")
     children = lines.filter(F.col("orl_kitmaster_id") != 0).select(
         "ord_no", F.col("orl_kitmaster_id").alias("parent_id"), "orl_sort_idx", "prt_id", "prt_no",
         "orl_quantity",
@@ -85,14 +85,15 @@ def kit_quantity_errors(tables: Tables, orders: DataFrame | None = None) -> Data
     )
 
 
-def existing_blankets(tables: Tables, orders: DataFrame | None = None) -> DataFrame:
+def existing_blankets(tables: Tables, orders: DataFrame) -> DataFrame:
     """Per order, the blanket orders of its client that hold one of its parts.
 
-    One row per row of ``blanket_orders``: the result is as large as the answer.
+    ``orders`` are those the question was raised for. One row per row of
+    ``blanket_orders``: the result is as large as the answer.
     """
-    header = tables["order_header"].select("ord_no", "cli_id")
-    if orders is not None:
-        header = header.join(orders.select("ord_no").distinct(), "ord_no", "left_semi")
+    header = join_unique(
+        tables["order_header"].select("ord_no", "cli_id"), orders.select("ord_no").distinct(), "ord_no", "left_semi"
+    )
     clients = tables["client"].select("cli_id", "cli_no").distinct()
     wanted = (
         _lines_of(tables, orders).select("ord_no", "prt_no").distinct()
@@ -128,33 +129,28 @@ def multiplier_rows(tables: Tables, orders: DataFrame | None = None) -> DataFram
     )
 
 
-def kit_report(rows: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
-    """Nest report rows: ord_no, page, pages, kits array<struct<.., lines array>>.
+def kit_report(rows: DataFrame) -> DataFrame:
+    """Nest report rows: ord_no, kits array<struct<.., lines array>>.
 
-    An order has one page unless its report is longer than ``page_rows``.
+    An order's report is one value, as a message needs it. ``outbox.list_lines``
+    has the same lines as rows, for orders of any size.
     """
-    sort = ["parent_idx", "parent_id", "line"]
-    numbered = paged(rows, "ord_no", "parent_idx", sort, page_rows)
-    kits = numbered.groupBy("ord_no", "page", "pages", "parent_idx", "parent_prt_no", "parent_id").agg(
+    kits = rows.groupBy("ord_no", "parent_idx", "parent_prt_no", "parent_id").agg(
         F.array_sort(F.collect_list("line")).alias("lines")
     )
     kit = F.struct(
         F.col("parent_idx").alias("orl_sort_idx"), F.col("parent_id").alias("orl_id"),
         F.col("parent_prt_no").alias("prt_no"), "lines",
     )
-    return kits.groupBy("ord_no", "page", "pages").agg(F.array_sort(F.collect_list(kit)).alias("kits"))
+    return kits.groupBy("ord_no").agg(F.array_sort(F.collect_list(kit)).alias("kits"))
 
 
-def missing_component_report(
-    tables: Tables, orders: DataFrame | None = None, page_rows: int = PAGE_ROWS
-) -> DataFrame:
-    return kit_report(missing_component_rows(tables, orders), page_rows)
+def missing_component_report(tables: Tables, orders: DataFrame | None = None) -> DataFrame:
+    return kit_report(missing_component_rows(tables, orders))
 
 
-def multiplier_report(
-    tables: Tables, orders: DataFrame | None = None, page_rows: int = PAGE_ROWS
-) -> DataFrame:
-    return kit_report(multiplier_rows(tables, orders), page_rows)
+def multiplier_report(tables: Tables, orders: DataFrame | None = None) -> DataFrame:
+    return kit_report(multiplier_rows(tables, orders))
 
 
 def confirmed_multiplier_orders(tables: Tables, orders: DataFrame | None = None) -> DataFrame:

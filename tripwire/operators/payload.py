@@ -22,7 +22,8 @@ def parse_payload(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Adds ref_type, reference, alert, user_name, station and ``malformed``.
 
     Fields after the fourth are ignored. A payload with fewer fields, or whose
-    session text names no user or no station, is marked malformed.
+    session text names no user or no station, is marked malformed, and so is one
+    without a readable ``time_stamp``: it could never be told from its repeats.
     """
     fields = F.split(F.col(payload), SEPARATOR)
     session = F.get(fields, F.lit(3))
@@ -33,7 +34,8 @@ def parse_payload(df: DataFrame, payload: str = "payload") -> DataFrame:
         "user_name": session_user(session),
         "station": session_station(session),
     })
-    return parsed.withColumn("malformed", _unreadable())
+    timeless = F.col("time_stamp").isNull() if "time_stamp" in df.columns else F.lit(False)
+    return parsed.withColumn("malformed", _unreadable() | timeless)
 
 
 def read_session(alerts: DataFrame) -> DataFrame:

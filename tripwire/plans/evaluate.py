@@ -53,10 +53,19 @@ def _txn(changes: DataFrame) -> list[str]:
 
 
 def _once_per_transaction(alerts: DataFrame) -> DataFrame:
-    """Equal alerts of one transaction count once, where the feed names transactions."""
+    """Equal alerts of one transaction count once, where the feed names transactions.
+
+    The first of them stands; a change without a transaction is one of its own.
+    """
     if "txn_id" not in alerts.columns:
         return alerts
-    return alerts.dropDuplicates(["txn_id", "alert", "ref_type", "reference", "app_name"]).drop("txn_id")
+    same = ["txn_id", "alert", "ref_type", "reference", "app_name"]
+    rest = [c for c in alerts.columns if c not in same]
+    first = alerts.filter(F.col("txn_id").isNotNull()).groupBy(*same).agg(
+        F.min(F.struct("change_seq", *[c for c in rest if c != "change_seq"])).alias("first")
+    ).select(*same, "first.*")
+    alone = alerts.filter(F.col("txn_id").isNull())
+    return first.unionByName(alone).select(*[c for c in alerts.columns if c != "txn_id"])
 
 
 def evaluate_all(changes: dict[str, DataFrame], tables: Tables) -> DataFrame:

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from tripwire.functions.frames import written
 from tripwire.operators.enrich import enrich
-from tripwire.operators.gates import gate
+from tripwire.operators.gates import confirm_multipliers, gate_by_columns
 from tripwire.operators.kits import with_lines_of
 from tripwire.operators.outbox import LISTINGS, Routing, outbox
 from tripwire.operators.payload import parse_payload, read_session
-from tripwire.operators.suppress import ACCEPTED, last_logged, suppress
+from tripwire.operators.suppress import ACCEPTED, suppress
 from tripwire.plans.evaluate import evaluate_all
 from tripwire.plans.rules import CATALOGUE
 
@@ -52,11 +52,11 @@ def deliver(
     names: set[str] | None = None, refs: set[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Enriched alerts with the disposition their gates give them, and the messages."""
-    enriched = written(enrich(logged, tables, refs))
+    enriched = written(gate_by_columns(enrich(logged, tables, refs)))
     if names is None or names & set(LISTINGS):
         listed = enriched.filter(F.col("alert").isin(list(LISTINGS)))
         tables = with_lines_of(tables, listed.select("ord_no"))
-    gated = written(gate(enriched, tables, names))
+    gated = confirm_multipliers(enriched, tables, names)
     return gated, outbox(gated.filter(F.col("disposition") == ACCEPTED), tables, routing, names=names)
 
 
@@ -73,8 +73,7 @@ def handle(
     """
     alerts = written(alerts.select(*ALERT_COLUMNS, "malformed"))
     unreadable = alerts.filter("malformed").drop("malformed").withColumn("disposition", F.lit(MALFORMED))
-    seed = None if log is None else last_logged(log)
-    judged = written(suppress(alerts.filter(~F.col("malformed")).drop("malformed"), seed=seed))
+    judged = written(suppress(alerts.filter(~F.col("malformed")).drop("malformed"), log=log))
     logged = judged.filter(F.col("disposition") == ACCEPTED).drop("disposition")
     gated, messages = deliver(logged, tables, routing, names, refs)
     refused = judged.filter(F.col("disposition") != ACCEPTED)
