@@ -41,7 +41,7 @@ def changes(spark, name: str, *rows: tuple):
     """Rows of (op, new, old) or (op, new, old, commit_ts); sequence numbers in order."""
     row = table_schema(name)
     data = [
-        (r[0], r[3] if len(r) > 3 else NOON, i, SESSION, _row(row, r[2]), _row(row, r[1]))
+        (r[0], r[3] if len(r) > 3 else NOON, i, SESSION, None, _row(row, r[2]), _row(row, r[1]))
         for i, r in enumerate(rows)
     ]
     return spark.createDataFrame(data, change_schema(name))

@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 def spark():
     from pyspark.sql import SparkSession
 
-    from tripwire.functions.frames import tune
+    from tripwire.functions.frames import own_folder, tune
 
     session = (
         SparkSession.builder.master("local[8]").appName("tests")
@@ -23,5 +23,5 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    yield tune(session)
+    yield tune(own_folder(session))
     session.stop()

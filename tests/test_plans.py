@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from checks.queries import SNAPSHOTS, open_tables
 from tests.builders import SESSION, tables
-from tripwire.operators import facts, kits
-from tripwire.operators.suppress import suppress
+from tripwire.operators import enrich, facts, kits
+from tripwire.operators.suppress import _chains, accepted_times
 from tripwire.plans.evaluate import evaluate
 from tripwire.plans.rules import CATALOGUE
 
@@ -175,14 +175,48 @@ def test_a_hot_join_key_is_split(spark, no_broadcast):
 
 
 def test_suppression_never_sorts_a_key_s_rows(spark):
-    """The windows of the batch path run over buckets, not over rows."""
-    rows = spark.range(1000).select(
-        F.col("id").alias("change_seq"), (F.lit("2024-01-01").cast("timestamp_ntz") + F.col("id").cast("int") * F.expr("interval 1 minute")).alias("time_stamp"),
-        *[F.lit("x").alias(c) for c in ("alert", "ref_type", "reference", "user_name", "station")])
-    out = suppress(rows, fold_rows=10)
-    plan = plan_of(out)
-    assert "Window" not in plan and "collect_set" in plan_of(suppress(rows))
-    assert out.filter("disposition = 'accepted'").count() == 17
+    """The windows of the batch path run over buckets, which were counted first, not over rows."""
+    points = spark.range(1000).select(F.lit("x").alias("k"), (F.col("id") * 60_000_000).alias("at"))
+    plan = explained(spark, _chains(points, ["k"], 3_600_000_000))
+    tree = plan.split("\n\n")[0]
+    assert tree.index("Window") < tree.index("HashAggregate") < tree.index("Range")
+    assert "bucket" in re.search(r"Window\b.*?orderBy|windowspecdefinition\(.*?\)", plan, re.S)[0]
+    assert [r.at for r in accepted_times(points, ["k"], 3_600_000_000, fold_rows=10).orderBy("at").collect()] == [
+        h * 3_600_000_000 for h in range(17)]
+
+
+def leaves(plan, cut=False):
+    """(columns of a scan, whether a semi-join cuts it) for each scan below a logical plan."""
+    children = [plan.children().apply(i) for i in range(plan.children().size())]
+    if not children:
+        yield plan.output().mkString(","), cut
+    semi = plan.nodeName() == "Join" and "LeftSemi" in plan.joinType().toString()
+    for i, child in enumerate(children):
+        yield from leaves(child, cut or (semi and i == 0))
+
+
+@pytest.mark.parametrize("table, alert, column", [
+    ("order_header", r.alert, "orl_") for r in CATALOGUE["order_header"][0] if r.facts and r.alert != "DUPLICATE PO"
+] + [("order_header", "DUPLICATE PO", "ord_cli_ord_no"), ("invoicing", "BO NOT ALLOWED", "orl_"),
+     ("invoicing_line", "INVOICED PRODUCTION", "plq_"), ("planning_lot_detailed", "UNCHECKED NEED CALCULATION", "plq_adj_flag"),
+     ("planning_lot_detailed", "EMPTY BOM PRODUCTION", "pld_lvl"), ("purchase_order_line", "MISSING SUPPLIER", "puh_id")])
+def test_facts_read_only_keys_that_changed(spark, table, alert, column):
+    """Every scan of a fact's table is cut by a semi-join before it is aggregated."""
+    star, tabs = open_tables(spark, SF)
+    feed = spark.createDataFrame(star.changes(table).limit(1).collect(), star.changes(table).schema)
+    plan = evaluate(feed, table, tabs, [alert])._jdf.queryExecution().optimizedPlan()
+    scans = [cut for columns, cut in leaves(plan) if column in columns]
+    assert scans and all(scans)
+
+
+@pytest.mark.parametrize("lookup", [
+    enrich.PACKING_SLIP_ORDER, enrich.INVOICE_ORDER, enrich.LOT_PART, enrich.PO_REFERENCE, enrich.PO_SUPPLIER_ID, enrich.PO_CREATOR])
+def test_lookups_read_only_keys_asked_for(spark, lookup):
+    _, tabs = open_tables(spark, SF)
+    keys = spark.createDataFrame([(None,)], f"{lookup.source} {dict(tabs[lookup.table].dtypes)[lookup.key]}")
+    plan = lookup(keys, tabs)._jdf.queryExecution().optimizedPlan()
+    scans = [cut for columns, cut in leaves(plan) if next(iter(lookup.attrs.values())) in columns]
+    assert all(scans)
 
 
 def test_all_snapshots_are_mapped(spark):
@@ -192,9 +226,28 @@ def test_all_snapshots_are_mapped(spark):
 
 def test_kit_errors_of_a_hot_kit_line(spark, no_broadcast):
     tabs = skewed_shop(spark, 3000)
-    assert kits.kit_quantity_errors(tabs).count() >= 0
-    report = kits.missing_component_report(tabs, page_rows=100)
+    line, kit = ([r.asDict() for r in tabs[t].collect()] for t in ("order_line", "part_kit"))
+    parent = {(x["ord_no"], x["orl_id"]): x for x in line}
+    ratios = {}
+    for k in kit:
+        ratios.setdefault((k["pkt_master_prt_id"], k["prt_id"]), set()).add(k["pkt_qty"])
+    want = set()
+    for x in line:
+        p = parent.get((x["ord_no"], x["orl_kitmaster_id"])) if x["orl_kitmaster_id"] else None
+        for ratio in ratios.get((p["prt_id"], x["prt_id"]), ()) if p else ():
+            if ratio * p["orl_quantity"] != x["orl_quantity"]:
+                want.add((x["ord_no"], x["orl_kitmaster_id"], x["orl_sort_idx"], x["prt_no"], round(ratio * p["orl_quantity"])))
+    assert {tuple(r) for r in kits.kit_quantity_errors(tabs).collect()} == want
+    report = kits.missing_component_report(tabs)
     lines = report.select(F.explode("kits").alias("k")).select(F.explode("k.lines"))
-    assert lines.count() == kits.kit_child_lines(tabs).count()
-    biggest = report.select(F.expr("aggregate(kits, 0, (n, k) -> n + size(k.lines))").alias("n")).agg(F.max("n")).first()[0]
-    assert biggest < 250
+    assert lines.count() == kits.kit_child_lines(tabs).count() > 900
+
+
+def test_ratios_on_a_hot_order_form_no_pairs(spark, no_broadcast):
+    """A third of all lines on one order: its lines meet one row per component."""
+    tabs = skewed_shop(spark, 3000)
+    found = facts.off_ratio_orders(tabs, spark.createDataFrame([(1,)], "ord_no long"))
+    assert [r.ord_no for r in found.collect()] == [1]
+    plan = plan_of(found)
+    joined = [int(n) for n in re.findall(r"rowCount=(\d+)", plan)]
+    assert max(joined, default=0) < 100_000 and "NestedLoop" not in plan and "Cartesian" not in plan

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.builders import SESSION, changes, table, tables
+from tripwire.functions.frames import own_folder, shared_folder
 from tripwire.operators.outbox import Routing
 from tripwire.operators.suppress import suppress
 from tripwire.plans import pipeline
+from tripwire.plans.evaluate import evaluate
 from tripwire.schemas import ALERT_KEY, TABLES
 from tripwire.sources.changes import conform, diff, read_changes, stream_changes
 from tripwire.sources.notifications import read_payloads, stream_payloads
@@ -43,6 +47,71 @@ def test_conform_casts_both_images(spark):
     assert (r.new.prt_id, str(r.new.pqt_real_qty), r.old) == (7, "2.5000", None)
 
 
+def test_a_feed_with_flags_as_text(spark, tmp_path):
+    path = str(tmp_path / "f")
+    feed = changes(spark, "client", ("UPDATE", dict(cli_id=1, cli_active=True), dict(cli_id=1, cli_active=False)))
+    for image, text in (("old", "f"), ("new", " True")):
+        feed = feed.withColumn(image, F.col(image).withField("cli_active", F.lit(text)))
+    feed.withColumn("txn_id", F.lit(9).cast("long")).drop("app_name").write.json(path)
+    batch = read_changes(spark, path, "json", table="client")
+    query = stream_changes(spark, path, "client", "json").writeStream.format("memory").queryName("text_flags").start()
+    query.processAllAvailable()
+    query.stop()
+    for rows in (batch.collect(), spark.table("text_flags").collect()):
+        [r] = rows
+        assert (r.old.cli_active, r.new.cli_active, r.new.cli_id, r.txn_id, r.app_name) == (False, True, 1, 9, None)
+
+
+def test_equal_alerts_of_a_transaction_count_once(spark):
+    feed = changes(spark, "order_header", cancelled(1, DAY), cancelled(1, DAY), cancelled(1, DAY), cancelled(1, DAY))
+    feed = feed.withColumn("txn_id", F.when(F.col("change_seq") < 2, 5))
+    tabs = tables(spark, order_header=[header(1, "C")])
+    out = evaluate(feed, "order_header", tabs, ["ORDER CANCELLED"]).collect()
+    assert sorted(r.change_seq for r in out) == [0, 2, 3]
+
+
+def test_a_rewritten_batch_leaves_no_day_of_its_first_attempt(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = spark.createDataFrame(
+        [(DAY + timedelta(days=i), *["x"] * 5) for i in range(3)],
+        "time_stamp timestamp_ntz, " + ", ".join(f"{c} string" for c in ALERT_KEY))
+    append_alerts(rows, path, "client", 0)
+    append_alerts(rows, path, "client", 1)
+    append_alerts(rows.limit(1), path, "client", 0)
+    assert read_log(spark, path).count() == 4
+    append_alerts(rows.limit(0), path, "client", 1)
+    assert read_log(spark, path).count() == 1
+
+
+def test_live_run_from_payloads_leaves_no_tables(spark, tmp_path):
+    (tmp_path / "p").mkdir()
+    lines = [f"2024-01-15 00:{m:02d}:00\tord_no, {n}, NEW BLANKET, {SESSION}" for m, n in ((0, 1), (5, 1), (9, 2))]
+    (tmp_path / "p" / "a.txt").write_text("\n".join([*lines, f"soon\tord_no, 1, NEW BLANKET, {SESSION}", "bad"]) + "\n")
+    tabs = tables(spark, order_header=[header(1, "A"), header(2, "A")])
+    root, before = str(tmp_path / "out"), set(Path(shared_folder(spark).removeprefix("file:")).glob("**/*.parquet"))
+    stream = stream_payloads(spark, str(tmp_path / "p"))
+    query = live.start_payloads(stream, lambda: tabs, Routing(), root, str(tmp_path / "cp"))
+    query.awaitTermination()
+    assert query.exception() is None
+    found = sorted(r.disposition for r in spark.read.parquet(f"{root}/dispositions").collect())
+    assert found == ["accepted", "accepted", "duplicate", "malformed", "malformed"]
+    assert sorted(r.subject for r in spark.read.parquet(f"{root}/outbox").collect()) == ["New blanket order 1", "New blanket order 2"]
+    assert set(Path(shared_folder(spark).removeprefix("file:")).glob("**/*.parquet")) == before
+
+
+def test_a_session_without_a_shared_folder_is_told(spark):
+    class Context:
+        master = "spark://somewhere"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(dict)
+
+    class Session:
+        sparkContext = Context
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(own_folder(Session))
+
+
 def test_diff(spark):
     before = table(spark, "part_quantity", *[dict(prt_id=i, pqt_real_qty=1) for i in (1, 2, 3)], dict(prt_id=4))
     after = table(spark, "part_quantity", dict(prt_id=1, pqt_real_qty=1), dict(prt_id=2, pqt_real_qty=9),
@@ -136,7 +205,7 @@ def test_streamed_pipeline_equals_the_batch_and_survives_a_repeat(spark, tmp_pat
 
 def test_stateful_suppression_equals_the_batch_across_a_restart(spark, tmp_path):
     columns = "n long, time_stamp timestamp, " + ", ".join(f"{c} string" for c in ALERT_KEY)
-    minutes = [[("A", 0), ("A", 40), ("B", 0), ("A", 0)], [("A", 80), ("A", 59), ("B", 59)], [("A", 139), ("A", 140), ("A", 70), ("B", 60)]]
+    minutes = [[("A", 0), ("A", 40), ("B", 0), ("A", 0)], [("A", 80), ("A", 59), ("B", 59), (None, 1), (None, 2), ("C", -9000)], [("A", 139), ("A", 140), ("A", 70), ("B", 60)]]
     source, target, state = (str(tmp_path / d) for d in ("in", "out", "cp"))
 
     def add(batch):
@@ -145,7 +214,7 @@ def test_stateful_suppression_equals_the_batch_across_a_restart(spark, tmp_path)
 
     def run():
         stream = spark.readStream.schema(columns).parquet(source)
-        query = suppress_stream(stream, delay="2 hours").writeStream.format("parquet").outputMode("append").option(
+        query = suppress_stream(stream).writeStream.format("parquet").outputMode("append").option(
             "checkpointLocation", state).trigger(availableNow=True).start(target)
         query.awaitTermination()
         assert query.exception() is None

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from functools import reduce
@@ -68,23 +68,26 @@ def merge_by_key(frames: list[DataFrame], keys: list[str]) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
-
-    A machine-local one is made only where it is unset and the whole session is
-    one process, as in tests.
-    """
+    """The folder the cluster names in ``spark.checkpoint.dir``, which all executors see."""
     context = spark.sparkContext
     folder = context.getCheckpointDir()
     if folder is None:
         folder = context.getConf().get("spark.checkpoint.dir")
         if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="tripwire-")
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(folder)
     return folder
 
 
+def own_folder(spark: SparkSession) -> SparkSession:
+    """For tests and trials on one machine: name a folder where the session names none."""
+    context = spark.sparkContext
+    named = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
+    if not named and context.master.startswith("local"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tripwire-"))
+    return spark
+
+
 # The folder below the shared one that tables go to at the moment.
 _PLACE: ContextVar[str | None] = ContextVar("place", default=None)
 
@@ -104,13 +107,25 @@ def written(df: DataFrame, name: str | None = None) -> DataFrame:
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Tables written inside are removed at the end, for jobs that run for long."""
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables written inside are removed at the end.
+
+    Yields a function that writes a result where it outlives them.
+    """
     place = f"scratch-{uuid4().hex}"
-    outer = _PLACE.set(place)
+    outer = _PLACE.get()
+    token = _PLACE.set(place)
+
+    def keep(df: DataFrame) -> DataFrame:
+        inner = _PLACE.set(outer)
+        try:
+            return written(df)
+        finally:
+            _PLACE.reset(inner)
+
     try:
-        yield
+        yield keep
     finally:
-        _PLACE.reset(outer)
+        _PLACE.reset(token)
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{place}")
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

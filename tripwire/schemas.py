@@ -89,7 +89,7 @@ def table_schema(name: str) -> T.StructType:
 
 
 def change_schema(name: str) -> T.StructType:
-    """One change row: the operation, when and by whom, and both row images."""
+    """One change row: the operation, when, by whom and in which transaction, and both row images."""
     row = table_schema(name)
     return (
         T.StructType()
@@ -97,6 +97,7 @@ def change_schema(name: str) -> T.StructType:
         .add("commit_ts", T.TimestampNTZType())
         .add("change_seq", "long")
         .add("app_name", "string")
+        .add("txn_id", "long")
         .add("old", row)
         .add("new", row)
     )

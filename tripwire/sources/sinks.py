@@ -15,17 +15,15 @@ LOG_COLUMNS = [f.name for f in ALERT_LOG]
 def write_batch(rows: DataFrame, path: str, source: str, batch_id: int) -> None:
     """Write one batch's rows so that writing it again replaces them.
 
-    Partitions are source, batch and day. A repeated batch overwrites only its
-    own partitions. Rows are rebalanced by day, with a busy day spread over
-    several tasks.
+    Partitions are source, batch and day. A repeated batch replaces all days of
+    its own folder, so nothing of an earlier attempt stays. Rows are rebalanced
+    by day, with a busy day spread over several tasks.
     """
     (
-        rows.withColumns({
-            "source": F.lit(source), "batch_id": F.lit(batch_id), "alert_date": F.to_date("time_stamp"),
-        })
+        rows.withColumn("alert_date", F.to_date("time_stamp"))
         .hint("rebalance", "alert_date")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source", "batch_id", "alert_date").parquet(path)
+        .write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy("alert_date").parquet(f"{path}/source={source}/batch_id={batch_id}")
     )
 
 

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tripwire.functions.frames import scratch
 from tripwire.operators.outbox import Routing
 from tripwire.operators.suppress import HOUR
-from tripwire.plans.pipeline import run
+from tripwire.plans.pipeline import Outcome, run, run_payloads
 from tripwire.sources.sinks import append_alerts, read_log, write_batch
 
 Tables = Mapping[str, DataFrame]
@@ -29,19 +29,33 @@ def process(
 
     Suppression resumes from what earlier batches logged, so a batch that runs
     again after a failure comes to the same result and replaces its own rows.
+    Tables written on the way are removed at the end.
     """
-    first = feed.agg(F.min("commit_ts")).first()[0]
-    if first is None:
-        return
-    log = read_log(
-        feed.sparkSession, f"{root}/alerts", source=table, before_batch=batch_id,
-        since=first - timedelta(seconds=HOUR),
-    )
+    log = _log_since(feed, "commit_ts", batch_id, table, root)
     with scratch(feed.sparkSession):
-        outcome = run({table: feed}, tables, routing, log)
-        append_alerts(outcome.log, f"{root}/alerts", table, batch_id)
-        write_batch(outcome.alerts, f"{root}/dispositions", table, batch_id)
-        write_batch(outcome.messages, f"{root}/outbox", table, batch_id)
+        _store(run({table: feed}, tables, routing, log), batch_id, table, root)
+
+
+def process_payloads(
+    payloads: DataFrame, batch_id: int, source: str, tables: Tables, routing: Routing, root: str
+) -> None:
+    """The same for a batch of notification texts."""
+    log = _log_since(payloads, "time_stamp", batch_id, source, root)
+    with scratch(payloads.sparkSession):
+        _store(run_payloads(payloads, tables, routing, log), batch_id, source, root)
+
+
+def _log_since(rows: DataFrame, time: str, batch_id: int, source: str, root: str) -> DataFrame:
+    """What was logged from a window before the batch on; all rows without a time stand alone."""
+    first = rows.agg(F.min(time)).first()[0]
+    since = None if first is None else first - timedelta(seconds=HOUR)
+    return read_log(rows.sparkSession, f"{root}/alerts", source=source, before_batch=batch_id, since=since)
+
+
+def _store(outcome: Outcome, batch_id: int, source: str, root: str) -> None:
+    append_alerts(outcome.log, f"{root}/alerts", source, batch_id)
+    write_batch(outcome.alerts, f"{root}/dispositions", source, batch_id)
+    write_batch(outcome.messages, f"{root}/outbox", source, batch_id)
 
 
 def start(
@@ -56,8 +70,25 @@ def start(
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         process(batch, batch_id, table, snapshots(), routing, root)
 
+    return _started(feed, table, on_batch, checkpoint, trigger)
+
+
+def start_payloads(
+    payloads: DataFrame, snapshots: Callable[[], Tables], routing: Routing,
+    root: str, checkpoint: str, source: str = "notifications", trigger: dict | None = None,
+) -> StreamingQuery:
+    """Run the pipeline on streamed notification texts, as ``stream_payloads`` reads them."""
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        process_payloads(batch, batch_id, source, snapshots(), routing, root)
+
+    return _started(payloads, source, on_batch, checkpoint, trigger)
+
+
+def _started(
+    feed: DataFrame, name: str, on_batch: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None
+) -> StreamingQuery:
     return (
-        feed.writeStream.queryName(f"alerts_{table}").foreachBatch(on_batch)
+        feed.writeStream.queryName(f"alerts_{name}").foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
