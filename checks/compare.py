@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 
 from checks.oracle import oracle_sql
 from checks.queries import queries
+from tripwire.functions.frames import own_folder
 
 RAW = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -66,7 +67,7 @@ def session(cpus: str = "8") -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return own_folder(spark)
 
 
 def main() -> int:

@@ -7,17 +7,23 @@ shape of the Spark jobs.
 from __future__ import annotations
 
 from checks.queries import ROUTING
-from tripwire.operators.facts import NEGATIVE_STOCK_GROUPS, SHORT_LEAD_GROUPS
+from checks.star_mapping import oracle_ctes
 from tripwire.operators.outbox import Routing
 from tripwire.plans.rules import CATALOGUE
 from tripwire.plans.templates import CLOSING, NOUN_MANY, NOUN_ONE, TEMPLATES
-from tripwire.sources.star_mapping import oracle_ctes
 
 
 def _listed(values: list[str]) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
+# Fixed values, stated here on their own: part groups with short lead times, and with stock below zero.
+SHORT_LEAD_GROUPS = [f"{n:03d}" for n in range(2, 22)] + (
+    "050 085 086 087 088 090 093 094 095 096 097 099 100 107 120 200 203 224 226 228 230 232 237 240 244 385 387 "
+    "393 395 396 398 990"
+).split()
+NEGATIVE_STOCK_GROUPS = ["002", "004", "085", "094", "097", "100", "120", "226", "230"]
+
 LIVE = "n.ord_status not in ('C','F','I')"
 NO_PROJECT = "n.prj_no is null"
 
@@ -140,7 +146,7 @@ def _greedy(points: str, key: list[str]) -> list[str]:
 KEY5 = ["alert", "ref_type", "reference", "user_name", "station"]
 
 CANDIDATES = "cand as (" + _read_session(
-    "(select *, commit_ts time_stamp from erp_alert_candidates where app_name <> 'psql')"
+    "(select *, commit_ts time_stamp from erp_alert_candidates)"
 ) + ")"
 
 
@@ -300,7 +306,7 @@ def _messages(routing: Routing = ROUTING) -> list[str]:
  case when g.alert = 'COMPONENT MULTIPLIER' then case when m.parents = 1 then {_text(NOUN_ONE)} else {_text(NOUN_MANY)} end end noun
  from gated g left join listing_blankets b on b.ord_no = g.ord_no left join listing_components k on k.ord_no = g.ord_no
  left join listing_multipliers m on m.ord_no = g.ord_no where g.disposition = 'accepted')""",
-        f"""mail as (select time_stamp, alert, ref_type, reference, user_name, station, 1 page, 1 pages,
+        f"""mail as (select time_stamp, alert, ref_type, reference, user_name, station,
  {_text(routing.sender)} from_header, {by_alert(to)} to_header, {by_alert(cc)} cc_header,
  {by_alert(lambda t: _filled(t.subject))} subject, {by_alert(lambda t: _filled(t.body + CLOSING))} body from listed)""",
         f"""select *, concat_ws(';', replace(to_header, ', ', ';'), nullif(replace(cc_header, ', ', ';'), ''), {admin}) recipients from mail""",
@@ -325,6 +331,38 @@ def _gate(alert: str) -> str:
     )
 
 
+def _list_lines() -> str:
+    """The numbered lines of the three kinds of list, for the orders whose alert passes its gate."""
+    alerts = ["EXISTING BLANKET", "MISSING COMPONENT", "COMPONENT MULTIPLIER"]
+    needed, body = _rules(*alerts)
+
+    def kit_rows(alert: str, lines: str, text: str) -> str:
+        return f"""select '{alert}' alert, p.ord_no, p.orl_sort_idx a, p.orl_id b, null c, null d,
+ concat('Kit line ', p.orl_sort_idx, ', part ', p.prt_no) text from kit_parents p
+ union all select '{alert}', p.ord_no, p.orl_sort_idx, p.orl_id, k.orl_sort_idx, k.prt_no, {text}
+ from kit_parents p join {lines} k on k.ord_no = p.ord_no and k.parent_id = p.orl_id"""
+
+    return _with(
+        [*dict.fromkeys([*needed, *CONTEXT_TABLES, *REPORT_TABLES])],
+        f"raised as ({body})", "alerts as (" + _read_session("(select *, commit_ts time_stamp from raised)") + ")",
+        ENRICHED, *REPORT_CTES, GATED,
+        f"""kit_text as ({kit_rows('MISSING COMPONENT', 'kit_lines_present', COMPONENT_LINE)}
+ union all {kit_rows('COMPONENT MULTIPLIER', 'kit_lines_off', MULTIPLIER_LINE)})""",
+        """numbered as (select alert, ord_no, row_number() over (partition by alert, ord_no order by a, b, c nulls first, d nulls first, text) line_no, text from kit_text
+ union all select 'EXISTING BLANKET', ord_no, row_number() over (partition by ord_no order by prt_no, blanket_ord_no),
+ concat('Part ', prt_no, ' in blanket order ', blanket_ord_no) from blankets)""",
+        "select n.* from numbered n where exists (select 1 from gated g where g.disposition = 'accepted' and g.alert = n.alert and g.ord_no = n.ord_no)",
+    )
+
+
+def _repeated_keys() -> str:
+    keys = [("order_header", "ord_no"), ("order_line", "orl_id"), ("client", "cli_id"), ("part_transaction", "ptn_id"),
+            ("purchase_order_line", "pul_id"), ("purchase_order_header", "puh_id"), ("supplier", "sup_id")]
+    return _with([t for t, _ in keys], "\nunion all ".join(
+        f"""select '{t}' "table", '{k}' "key", count(*) repeated from (select {k} from erp_{t} where {k} is not null group by {k} having count(*) > 1)"""
+        for t, k in keys))
+
+
 def _pipeline(*last: str) -> str:
     """All alerts, suppressed, enriched and gated, and a statement over them."""
     needed, body = _rules(tables=list(CATALOGUE))
@@ -369,15 +407,18 @@ def oracle_sql() -> dict[str, str]:
 
     found["order_facts"] = _with(["order_line", "part"], ORDER_FACTS)
     found["normalise_part"] = _with(["part"], "select * from erp_part")
-    found["normalise_flags"] = (
-        "select event_id, case event_id % 4 when 0 then true when 1 then false when 2 then true end flag from events"
-    )
+    found["normalise_flags"] = """select o_orderkey, case when lower(trim(o_orderstatus)) in ('t', 'true') then true
+ when lower(trim(o_orderstatus)) in ('f', 'false') then false end flag from orders"""
     kits = ["order_line", "part_kit"]
     found["kit_parents"] = _with(kits, KIT_PARENTS)
     found["kit_child_lines"] = _with(kits, f"kit_parents as ({KIT_PARENTS})", KIT_CHILDREN)
     found["kit_quantity_errors"] = _with(kits, KIT_ERRORS)
-    found["existing_blankets"] = _with(["order_line", "order_header", "client", "blanket_orders"], BLANKETS)
-    report = "select ord_no, 1 page, 1 pages, listing report from (%s)"
+    needed, body = _rules("EXISTING BLANKET")
+    blanket_tables = [*dict.fromkeys([*needed, "order_line", "order_header", "client", "blanket_orders"])]
+    asked = "where ord_no in (select cast(reference as bigint) from raised)"
+    found["existing_blankets"] = _with(
+        blanket_tables, f"raised as ({body})", f"blankets as ({BLANKETS})", f"select * from blankets {asked}")
+    report = "select ord_no, listing report from (%s)"
     found["missing_component_report"] = _with(
         kits, f"kit_parents as ({KIT_PARENTS})", f"kit_lines as ({KIT_CHILDREN})",
         report % _short_report("k.orl_sort_idx || ':' || k.prt_no"),
@@ -387,8 +428,8 @@ def oracle_sql() -> dict[str, str]:
         report % _short_report("k.orl_sort_idx || ':' || k.prt_no || '=' || k.fixed_qty"),
     )
     found["lookup_order_blankets"] = _with(
-        ["order_line", "order_header", "client", "blanket_orders"], f"blankets as ({BLANKETS})",
-        f"select ord_no, 1 page, 1 pages, listing from ({BLANKET_LISTING})",
+        blanket_tables, f"raised as ({body})", f"blankets as ({BLANKETS})",
+        f"select ord_no, listing from ({BLANKET_LISTING}) {asked}",
     )
 
     greedy = _with(
@@ -404,19 +445,17 @@ def oracle_sql() -> dict[str, str]:
     same = " and ".join(f"c.{k} = a.{k}" for k in KEY5)
     found["suppress_seeded"] = _with(
         ["alert_candidates", "prior_log"], CANDIDATES,
-        f"seeds as (select {keys}, max(time_stamp) seed from erp_prior_log group by {keys})",
-        f"""placed as (select c.*, a.seed, coalesce(c.time_stamp < a.seed, false) late
- from cand c left join seeds a on {same})""",
-        f"""points as (select distinct {keys}, time_stamp ts from placed where not late
- union select {keys}, seed from seeds)""",
+        f"""placed as (select c.*, exists (select 1 from erp_prior_log a where {same}
+ and a.time_stamp + interval 1 hour > c.time_stamp and a.time_stamp < c.time_stamp) blocked from cand c)""",
+        f"points as (select distinct {keys}, time_stamp ts from placed where not blocked)",
         *_greedy("points", KEY5),
-        f"""select c.change_seq, case when c.late then 'late' when a.ts is null then 'duplicate' else 'accepted' end disposition
- from placed c left join accepted a on {same} and c.time_stamp = a.ts""",
+        f"""select c.change_seq, case when c.user_name is null or c.station is null then 'accepted'
+ when c.blocked or a.ts is null then 'duplicate' else 'accepted' end disposition from placed c left join accepted a on {same} and c.time_stamp = a.ts""",
         recursive=True,
     )
     found["duplicate_probe"] = _with(
         ["alert_candidates"], CANDIDATES,
-        f"""select a.change_seq, exists (select 1 from cand c where c.alert <> 'view' and {same}
+        f"""select a.change_seq, exists (select 1 from cand c where {same}
  and c.time_stamp + interval 1 hour > a.time_stamp and c.time_stamp < a.time_stamp) is_duplicate from cand a""",
     )
     found["last_logged"] = _with(
@@ -507,6 +546,28 @@ def oracle_sql() -> dict[str, str]:
     found["outbox_purchasing"] = _outbox("RECEPTION", "MISSING SUPPLIER", "OVER RECEPTION")
     found["outbox_user_route"] = _outbox("UNCHECKED NEED CALCULATION")
     found["outbox_dev_override"] = _outbox("NEGATIVE QUANTITY", routing=Routing(dev=True))
+    found["outbox_lines"] = _list_lines()
+    found["repeated_keys"] = _repeated_keys()
+    found["read_changes"] = _with(["order_header"], """select change_seq, op, change_seq % 10 txn_id, ord_no, ord_bo_accptd,
+ old_ord_status old_status, ord_date from erp_order_header""")
+    found["read_payloads"] = _with(
+        ["alert_candidates"], payloads.replace("select change_seq, case", "select change_seq, commit_ts, case"),
+        "fields as (select change_seq, commit_ts, string_split(coalesce(payload, ''), ', ') f from payloads)",
+        """named as (select change_seq, f[1] ref_type, f[2] reference, f[3] alert, f[4] app_name,
+ case when change_seq % 50 <> 3 then commit_ts end time_stamp from fields)""",
+        "parsed as (" + _read_session("named") + ")",
+        """select time_stamp, ref_type, reference, alert, user_name, station, ref_type is null or reference is null
+ or alert is null or user_name is null or station is null or time_stamp is null malformed from parsed""",
+    )
+    found["alert_log"] = _with(["alert_candidates"], CANDIDATES, f"select time_stamp, {keys} from cand")
+    found["outbox_table"] = "select time_stamp, alert, reference, to_header, subject, body from (" + _outbox("SHIPPING COST MISSING") + ")"
+    found["suppress_stream"] = _with(
+        ["alert_candidates"], CANDIDATES, f"points as (select distinct {keys}, time_stamp ts from cand)",
+        *_greedy("points", KEY5),
+        f"""select c.change_seq, case when c.user_name is null or c.station is null or a.ts is not null then 'accepted'
+ else 'duplicate' end disposition from cand c left join accepted a on {same} and c.time_stamp = a.ts""",
+        recursive=True,
+    )
     found["pipeline_dispositions"] = _pipeline(
         """select time_stamp, alert, ref_type, reference, user_name, station, change_seq, disposition from gated
  union all select time_stamp, alert, ref_type, reference, user_name, station, change_seq, 'duplicate' from judged where not passed"""

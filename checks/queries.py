@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwire.functions.frames import tune, written
+from checks.star_mapping import StarTables
+from tripwire.functions.frames import shared_folder, tune, written
 from tripwire.operators import enrich, facts, kits, outbox, payload, suppress
 from tripwire.plans import evaluate, pipeline
 from tripwire.plans.rules import CATALOGUE
+from tripwire.schemas import table_schema
+from tripwire.sources import changes, notifications, sinks
 from tripwire.sources.changes import diff
 from tripwire.sources.snapshots import text_flag
-from tripwire.sources.star_mapping import StarTables
+from tripwire.streaming.suppress_stream import suppress_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,9 +67,9 @@ def order_alerts(star: StarTables, tables: Tables) -> DataFrame:
 
 
 def candidates(star: StarTables) -> DataFrame:
-    """The repeating alerts of the event stream, with user and station."""
+    """The repeating alerts of the event stream, with user and station; null where unreadable."""
     flat = star.flat("erp_alert_candidates").withColumnRenamed("commit_ts", "time_stamp")
-    return payload.read_session(flat).filter(~F.col("malformed")).drop("malformed", "app_name")
+    return payload.read_session(flat).drop("malformed", "app_name")
 
 
 def payloads(star: StarTables) -> DataFrame:
@@ -89,14 +93,13 @@ def _suppressed(fold_rows: int) -> Query:
 
 
 def _suppress_seeded(star: StarTables, tables: Tables) -> DataFrame:
-    seed = suppress.last_logged(star.flat("erp_prior_log"))
-    return suppress.suppress(candidates(star), seed=seed).select("change_seq", "disposition")
+    log = star.flat("erp_prior_log")
+    return suppress.suppress(candidates(star), log=log).select("change_seq", "disposition")
 
 
 def _duplicate_probe(star: StarTables, tables: Tables) -> DataFrame:
     rows = candidates(star)
-    log = rows.filter(F.col("alert") != "view").drop("change_seq")
-    return suppress.is_duplicate(rows, log).select("change_seq", "is_duplicate")
+    return suppress.is_duplicate(rows, rows.drop("change_seq")).select("change_seq", "is_duplicate")
 
 
 def _last_logged(star: StarTables, tables: Tables) -> DataFrame:
@@ -147,7 +150,7 @@ def _report(report: Callable, line_text: Callable) -> Query:
             return F.concat(k.orl_sort_idx, F.lit("/"), k.prt_no, F.lit("["), lines, F.lit("]"))
 
         return report(tables).select(
-            "ord_no", "page", "pages", F.array_join(F.transform("kits", kit_text), " ").alias("report")
+            "ord_no", F.array_join(F.transform("kits", kit_text), " ").alias("report")
         )
 
     return _on_tables(build)
@@ -162,9 +165,84 @@ def _lookup(table: str, key: str, out: str, *lookups: enrich.Lookup) -> Query:
     return _on_tables(build)
 
 
+def _raised_blankets(star: StarTables, tables: Tables) -> DataFrame:
+    """The orders for which an existing blanket was raised."""
+    raised = evaluate.evaluate(star.changes("order_header"), "order_header", tables, ["EXISTING BLANKET"])
+    return written(raised.select(F.col("reference").cast("long").alias("ord_no")).distinct())
+
+
+def _existing_blankets(star: StarTables, tables: Tables) -> DataFrame:
+    return kits.existing_blankets(tables, _raised_blankets(star, tables))
+
+
 def _order_blankets(star: StarTables, tables: Tables) -> DataFrame:
-    orders = tables["order_header"].select("ord_no")
-    return outbox.blanket_listing(tables, orders).select("ord_no", "page", "pages", "listing")
+    return outbox.blanket_listing(tables, _raised_blankets(star, tables)).select("ord_no", "listing")
+
+
+def _outbox_lines(star: StarTables, tables: Tables) -> DataFrame:
+    names = list(outbox.LISTINGS)
+    gated, _ = _delivered(star, tables, "order_header", names)
+    return outbox.list_lines(gated.filter("disposition = 'accepted'"), tables, set(names))
+
+
+def _repeated_keys(star: StarTables, tables: Tables) -> DataFrame:
+    return enrich.repeated_keys({lookup.table: tables[lookup.table] for lookup in enrich.BY_PRIMARY_KEY})
+
+
+def _stored(star: StarTables, name: str) -> str:
+    """A new folder below the shared one."""
+    return f"{shared_folder(star.spark)}/{name}-{uuid4().hex}"
+
+
+def _read_changes(star: StarTables, tables: Tables) -> DataFrame:
+    """A feed as another system writes it: flags as text, padded part numbers, a transaction per ten orders."""
+    path, feed = _stored(star, "feed"), star.changes("order_header")
+    texts = [f.name for f in table_schema("order_header") if f.dataType.simpleString() == "boolean"]
+    for image in ("old", "new"):
+        feed = feed.withColumn(image, F.col(image).withField(
+            texts[0], F.when(F.col(f"{image}.{texts[0]}"), "t").otherwise("f")))
+    feed.withColumn("txn_id", F.col("change_seq") % 10).write.json(path)
+    read = changes.read_changes(star.spark, path, "json", table="order_header")
+    return read.select("change_seq", "op", "txn_id", F.col("new.ord_no"), F.col("new.ord_bo_accptd"),
+                       F.col("old.ord_status").alias("old_status"), F.col("new.ord_date").alias("ord_date"))
+
+
+def _read_payloads(star: StarTables, tables: Tables) -> DataFrame:
+    """Notification lines with their time; every fiftieth time is unreadable."""
+    path = _stored(star, "payloads")
+    texts = payloads(star).join(star.flat("erp_alert_candidates").select("change_seq", "commit_ts"), "change_seq")
+    time = F.when(F.col("change_seq") % 50 == 3, "soon").otherwise(F.col("commit_ts").cast("string"))
+    texts.select(F.concat(time, F.lit("\t"), F.coalesce("payload", F.lit("")))).write.text(path)
+    parsed = payload.parse_payload(notifications.read_payloads(star.spark, path))
+    return parsed.select("time_stamp", "ref_type", "reference", "alert", "user_name", "station", "malformed")
+
+
+def _alert_log(star: StarTables, tables: Tables) -> DataFrame:
+    """Two batches into the log; the first is repeated with other rows and replaced as a whole."""
+    path, rows = _stored(star, "log"), candidates(star)
+    early = F.col("change_seq") % 2 == 0
+    sinks.append_alerts(rows, path, "events", 1)
+    sinks.append_alerts(rows.filter(early), path, "events", 1)
+    sinks.append_alerts(rows.filter(~early), path, "events", 2)
+    return sinks.read_log(star.spark, path)
+
+
+def _outbox_table(star: StarTables, tables: Tables) -> DataFrame:
+    path = _stored(star, "outbox")
+    _, messages = _delivered(star, tables, "invoicing", ["SHIPPING COST MISSING"])
+    sinks.write_batch(messages, path, "invoicing", 1)
+    return star.spark.read.parquet(path).select("time_stamp", "alert", "reference", "to_header", "subject", "body")
+
+
+def _suppress_stream(star: StarTables, tables: Tables) -> DataFrame:
+    """The event stream's alerts, null keys among them, through the stateful operator in one run."""
+    source, target = _stored(star, "stream"), _stored(star, "judged")
+    candidates(star).withColumn("time_stamp", F.col("time_stamp").cast("timestamp")).write.parquet(source)
+    stream = star.spark.readStream.schema(star.spark.read.parquet(source).schema).parquet(source)
+    query = suppress_stream(stream).writeStream.format("parquet").outputMode("append").option(
+        "checkpointLocation", _stored(star, "state")).trigger(availableNow=True).start(target)
+    query.awaitTermination()
+    return star.spark.read.parquet(target).select("change_seq", "disposition")
 
 
 def _alerts_of(star: StarTables, tables: Tables, table: str, *names: str) -> DataFrame:
@@ -206,9 +284,8 @@ def _handled(star: StarTables, tables: Tables) -> pipeline.Outcome:
 
 
 def _text_flags(star: StarTables, tables: Tables) -> DataFrame:
-    turn = F.col("event_id") % 4
-    flag = F.when(turn == 0, "t").when(turn == 1, "False ").when(turn == 2, "TRUE")
-    return star.raw("events").select("event_id", text_flag(flag).alias("flag"))
+    """Order statuses read as flags: F is one, the others are none."""
+    return star.raw("orders").select("o_orderkey", text_flag(F.col("o_orderstatus")).alias("flag"))
 
 
 def queries() -> dict[str, Query]:
@@ -228,7 +305,7 @@ def queries() -> dict[str, Query]:
         "kit_parents": _on_tables(lambda star, t: kits.kit_parents(t)),
         "kit_child_lines": _on_tables(lambda star, t: kits.kit_child_lines(t)),
         "kit_quantity_errors": _on_tables(lambda star, t: kits.kit_quantity_errors(t)),
-        "existing_blankets": _on_tables(lambda star, t: kits.existing_blankets(t)),
+        "existing_blankets": _on_tables(_existing_blankets),
         "missing_component_report": _report(
             kits.missing_component_report, lambda l: F.concat(l.orl_sort_idx, F.lit(":"), l.prt_no)
         ),
@@ -281,6 +358,13 @@ def queries() -> dict[str, Query]:
         "outbox_dev_override": _messages(
             "part_transaction", "NEGATIVE QUANTITY", routing=outbox.Routing(dev=True)
         ),
+        "outbox_lines": _on_tables(_outbox_lines),
+        "repeated_keys": _on_tables(_repeated_keys),
+        "read_changes": _on_tables(_read_changes),
+        "read_payloads": _on_tables(_read_payloads),
+        "alert_log": _on_tables(_alert_log),
+        "outbox_table": _on_tables(_outbox_table),
+        "suppress_stream": _on_tables(_suppress_stream),
         "pipeline_dispositions": _on_tables(lambda star, t: _handled(star, t).alerts),
         "pipeline_messages": _on_tables(lambda star, t: _flat_messages(_handled(star, t).messages)),
     })
