@@ -60,16 +60,45 @@ def test_a_large_group_of_near_copies_and_a_chain(spark):
 def test_two_permutations():
     x = np.arange(1 << 16, dtype=np.uint32)
     assert len(np.unique(c._scatter(x))) == len(x)
-    one = c._shifted_minima(np.array([7], np.uint32), 3)
-    two = c._shifted_minima(np.array([8], np.uint32), 2)
+    zero = np.zeros(1, int)
+    one = c._shifted_minima(np.array([7], np.uint32), zero, 3)[0]
+    two = c._shifted_minima(np.array([8], np.uint32), zero, 2)[0]
     assert list(one[1:]) == list(two)  # a shift of the set is a shift of the coordinates
+    assert len(np.unique(c._shifted_minima(x, np.arange(len(x)), 1))) == len(x)
 
 
 def test_signatures_estimate_similarity():
     rng = np.random.Generator(np.random.PCG64(1))
-    shared, a, b = (rng.integers(0, 2**63, n, dtype=np.uint64) for n in (800, 100, 100))
-    x, y = (np.frombuffer(c.signature(np.concatenate([shared, z]), 400), "<u4") for z in (a, b))
-    assert abs((x == y).mean() - 0.8) < 0.08
+    sets = []
+    for n in (800, 80, 40_000):
+        shared, a, b = (rng.integers(0, 2**63, k, dtype=np.uint64) for k in (n, n // 8, n // 8))
+        sets += [np.concatenate([shared, z]) for z in (a, b)]
+    signed = c.signatures(sets, 400)
+    for k in (0, 2, 4):
+        assert abs((signed[k] == signed[k + 1]).mean() - 0.8) < 0.08
+        alone = c.signatures(sets[k:k + 1], 400)
+        assert (alone[0] == signed[k]).all()
+
+
+def test_blocks_find_what_stars_miss(spark, monkeypatch):
+    """Copies so far apart that the smallest and largest id of a bucket are linked with few."""
+    random.seed(9)
+    core = [f"w{k}" for k in range(100)]
+    rows = []
+    for i in range(120):
+        copy = list(core)
+        for at in random.sample(range(100), random.choice([1, 2, 3, 4, 5])):
+            copy[at] = f"v{random.randrange(60)}"
+        rows.append((i, " ".join(copy)))
+    monkeypatch.setattr(c, "BLOCK", 20)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(df, 4) == brute(rows, 4)
+
+
+def test_one_id_in_several_classes(spark):
+    rows = [(5, "a b c d e f"), (5, "p q r s t u"), (2, "a b c d e f"), (9, "p q r s t u")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.component_id for r in c.near_duplicates(df).collect()} == {2}
 
 
 def test_no_documents(spark):
