@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripwire.functions.frames import written
+from tripwire.functions.frames import scratch, written
 from tripwire.llm.common import text_of, words_of
 
 WEIGHTS = (5, 2, 1)
@@ -79,10 +79,14 @@ def mix(rows: DataFrame, keep: list[str], weights: tuple[int, ...] = WEIGHTS, sh
     """Mix ``rows`` with ``keep`` columns, ``doc_id``, ``source`` and ``size``.
 
     Adds ``source_size``, ``target``, ``finish_1`` and ``finish_2`` (the finish
-    times of the first and second copy) and ``taken``. The rows are written
-    once: their places in the queues are needed three times.
+    times of the first and second copy) and ``taken``. The result is a written
+    table; those it is made from are removed.
     """
-    extra = [c for c in keep if c not in ("doc_id", "source", "size")]
+    with scratch(rows.sparkSession) as hold:
+        return hold(_mixed(rows, [c for c in keep if c not in ("doc_id", "source", "size")], weights, share))
+
+
+def _mixed(rows: DataFrame, extra: list[str], weights: tuple[int, ...], share: float) -> DataFrame:
     queued = written(rows.select(
         *extra, "doc_id", "source", "size", shuffled(F.col("doc_id")).alias("place"),
     ).withColumn("bucket", F.substring("place", 1, BUCKET_DIGITS)))

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripwire.functions.frames import join_unique, written
+from tripwire.functions.frames import join_unique, scratch, written
 from tripwire.llm.common import lower_ascii
 
 ORDER = 4
@@ -150,15 +150,22 @@ def judge_urls(pages: DataFrame, rules: tuple[PathRule, ...] = RULES, order: int
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     ruled = parts.select("page_id", "host", "path", "text", rule.alias("rule"), verdict.alias("said"))
 
-    held = F.pmod(F.crc32(F.col("text").cast("binary")), F.lit(FOLDS)) == 0
-    count = lambda want, when: F.sum(F.when((F.col("said") == want) & when, 1).otherwise(0))
-    texts = written(ruled.groupBy("text").agg(
-        count("allow", ~held).alias("a"), count("block", ~held).alias("b"),
-        count("allow", held).alias("accepted"), count("block", held).alias("rejected")))
-    scores = written(join_unique(texts.select("text", "accepted", "rejected"), score_texts(texts.select("text", "a", "b"), order), "text"))
+    with scratch(pages.sparkSession) as keep:
+        scores = keep(_scored(ruled, order))
     limit = threshold(scores)
     score = F.coalesce(F.col("score"), F.lit(0.0))
     return join_unique(ruled, scores.select("text", "score"), "text", "left").select(
         "page_id", "host", "path", "rule",
         F.coalesce("said", F.when(score > limit, "block").otherwise("allow")).alias("verdict"),
         score.alias("score"))
+
+
+def _scored(ruled: DataFrame, order: int) -> DataFrame:
+    """``text, accepted, rejected, score``: each text once, with its labels in the calibration fold."""
+    held = F.pmod(F.crc32(F.col("text").cast("binary")), F.lit(FOLDS)) == 0
+    count = lambda want, when: F.sum(F.when((F.col("said") == want) & when, 1).otherwise(0))
+    texts = written(ruled.groupBy("text").agg(
+        count("allow", ~held).alias("a"), count("block", ~held).alias("b"),
+        count("allow", held).alias("accepted"), count("block", held).alias("rejected")))
+    scored = score_texts(texts.select("text", "a", "b"), order)
+    return join_unique(texts.select("text", "accepted", "rejected"), scored, "text")
