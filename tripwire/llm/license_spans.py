@@ -88,16 +88,16 @@ def find_spans(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) ->
     diagonal = ["doc_id", "version", "template", "label", "base", "pairs"]
     voted = hits.groupBy(*diagonal, (F.col("pos") - F.col("at")).alias("start")).agg(
         F.bit_or("bit").alias("bits"))
-    places = voted.filter("base and bit_count(bits) = pairs").select(
-        *diagonal[:-1], "start", F.lit(1.0).alias("cover"))
+    # A base phrase stands on its own diagonal; other diagonals meet their neighbours in two bands.
     band = F.floor(F.col("start") / DRIFT)
-    merged = (
-        voted.filter("not base").withColumn("band", F.explode(F.array(band, band + 1)))
+    bands = F.when(F.col("base"), F.array(F.col("start").cast("long"))).otherwise(F.array(band, band + 1))
+    return (
+        voted.withColumn("band", F.explode(bands))
         .groupBy(*diagonal, "band").agg(F.bit_or("bits").alias("bits"), F.min("start").alias("start"))
-        .withColumn("cover", F.bit_count("bits") / F.col("pairs")).filter(F.col("cover") >= COVER)
+        .withColumn("cover", F.bit_count("bits") / F.col("pairs"))
+        .filter(F.col("cover") >= F.when(F.col("base"), 1.0).otherwise(COVER))
         .groupBy(*diagonal[:-1], "start").agg(F.max("cover").alias("cover"))
     )
-    return places.unionByName(merged)
 
 
 def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> DataFrame:
