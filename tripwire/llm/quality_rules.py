@@ -64,8 +64,8 @@ GOOD_ACCURACY = (0.5, 0.8)
 def measure(rows: DataFrame, keep: list[str]) -> DataFrame:
     """The columns ``keep`` and the MEASURES of column ``text``.
 
-    Each step is a projection of its own and refers more than once to what it
-    builds on, so that Spark computes that once and not for each array element.
+    Functions of array elements look at their element only, never at another
+    column, which Spark might compute anew for each element.
     """
     split = rows.select(*keep, text_of().alias("body")).select(
         *keep, words_of(F.col("body")).alias("words"),
@@ -84,17 +84,23 @@ def measure(rows: DataFrame, keep: list[str]) -> DataFrame:
         (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
         F.transform("words", lambda word: F.xxhash64(word)).alias("word_hashes"),
     )
-    m, at = F.size("word_hashes"), lambda i: F.get("word_hashes", i)
-    windows = hashed.withColumn("hashes", F.when(m >= WINDOW, F.transform(
-        F.sequence(F.lit(0), m - WINDOW), lambda i: F.xxhash64(*[at(i + k) for k in range(WINDOW)]))))
+    m, shift = F.size("word_hashes"), lambda k: F.slice("word_hashes", k + 1, F.greatest(m - k, F.lit(0)))
+    rows_of = F.arrays_zip(*[shift(k).alias(f"w{k}") for k in range(WINDOW)])
+    windows = hashed.withColumn("hashes", F.when(
+        m >= WINDOW, F.slice(F.transform(rows_of, lambda x: F.xxhash64(x)), 1, m - (WINDOW - 1))))
     # Equal windows become neighbours; texts without any are spared the sort.
     sorted_ = windows.withColumn("sorted", F.when(
         F.size(F.array_distinct("hashes")) < F.size("hashes"),
         F.sort_array(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
     ))
-    same = lambda x, at: F.coalesce(x["h"] == F.get(F.col("sorted"), at)["h"], F.lit(False))
-    starts = sorted_.withColumn("starts", F.when(F.size("sorted") > 0, F.sort_array(F.transform(
-        F.filter("sorted", lambda x, i: same(x, i - 1) | same(x, i + 1)), lambda x: x["i"],
+    n_sorted, none = F.size("sorted"), F.array(F.lit(None).cast("struct<h:bigint,i:int>"))
+    neighbours = F.arrays_zip(
+        F.col("sorted").alias("own"),
+        F.concat(none, F.slice("sorted", 1, n_sorted - 1)).alias("before"),
+        F.concat(F.slice("sorted", 2, n_sorted), none).alias("after"))
+    starts = sorted_.withColumn("starts", F.when(n_sorted > 0, F.sort_array(F.transform(
+        F.filter(neighbours, lambda x: x["own"]["h"].eqNullSafe(x["before"]["h"]) | x["own"]["h"].eqNullSafe(x["after"]["h"])),
+        lambda x: x["own"]["i"],
     ))))
     covered = F.aggregate(
         "starts",
