@@ -549,7 +549,7 @@ def oracle_sql() -> dict[str, str]:
     found["outbox_lines"] = _list_lines()
     found["repeated_keys"] = _repeated_keys()
     found["read_changes"] = _with(["order_header"], """select change_seq, op, change_seq % 10 txn_id, ord_no, ord_bo_accptd,
- old_ord_status old_status, ord_date from erp_order_header""")
+ old_ord_status old_status, cast(ord_date as varchar) ord_date from erp_order_header""")
     found["read_payloads"] = _with(
         ["alert_candidates"], payloads.replace("select change_seq, case", "select change_seq, commit_ts, case"),
         "fields as (select change_seq, commit_ts, string_split(coalesce(payload, ''), ', ') f from payloads)",

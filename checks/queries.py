@@ -204,7 +204,7 @@ def _read_changes(star: StarTables, tables: Tables) -> DataFrame:
     feed.withColumn("txn_id", F.col("change_seq") % 10).write.json(path)
     read = changes.read_changes(star.spark, path, "json", table="order_header")
     return read.select("change_seq", "op", "txn_id", F.col("new.ord_no"), F.col("new.ord_bo_accptd"),
-                       F.col("old.ord_status").alias("old_status"), F.col("new.ord_date").alias("ord_date"))
+                       F.col("old.ord_status").alias("old_status"), F.col("new.ord_date").cast("string").alias("ord_date"))
 
 
 def _read_payloads(star: StarTables, tables: Tables) -> DataFrame:

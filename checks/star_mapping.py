@@ -56,7 +56,7 @@ select l_orderkey*100+l_linenumber*10 orl_id, l_orderkey ord_no, l_linenumber*10
  cast(case when l_orderkey%30=0 or (l_orderkey*10+l_linenumber)%29=0 then 0 else sum(l_quantity) end as bigint) q,
  cast(min(l_shipdate) as date) dt from lineitem group by l_orderkey,l_linenumber"""),
     "erp_part_kit": (["part"], """
-select case when p_partkey%10 in (1,2) then p_partkey-p_partkey%10 else -p_partkey end pkt_master_prt_id, p_partkey prt_id,
+select case when p_partkey%10 in (1,2) then p_partkey-p_partkey%10 else -1-p_partkey end pkt_master_prt_id, p_partkey prt_id,
  cast(p_partkey%10+1 as int) pkt_qty from part"""),
     "erp_lines0": (["erp_base_line", "erp_part_kit"], """
 select orl_id, ord_no, orl_sort_idx, prt_id, q, dt, cast(0 as bigint) km from erp_base_line
