@@ -25,12 +25,12 @@ from tripwire.llm.common import pack, table, text_of
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose posterior probability of being good is high enough.
 
-    Texts are measured twice, for the estimation and for the verdicts; a table
-    of whole documents in between would cost more than the measures.
+    The documents are written with their measures, as the estimation and the
+    verdicts both need those; a filter on unwritten measures would be pushed
+    below them and compute them over and over.
     """
-    model = quality_rules.fit(quality_rules.measure(docs.select("text"), []))
-    measured = quality_rules.measure(pack(docs, docs["text"]), ["doc"])
-    return quality_rules.judge(measured, model).filter("kept").select("doc.*")
+    measured = written(quality_rules.measure(pack(docs, docs["text"]), ["doc"]))
+    return quality_rules.judge(measured, quality_rules.fit(measured)).filter("kept").select("doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
