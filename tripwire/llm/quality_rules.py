@@ -166,7 +166,10 @@ def fit(measured: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = 50)
 
 
 def judge(measured: DataFrame, model: VoteModel, rules: tuple[Rule, ...] = RULES, least: float = 0.5) -> DataFrame:
-    """Adds ``votes``, ``posterior``, ``base_failed`` and ``kept``."""
+    """Adds ``votes``, ``posterior``, ``base_failed`` and ``kept``.
+
+    Hand in a written table of measures where the result is to be filtered.
+    """
     return (
         measured.withColumn("votes", votes(rules))
         .withColumn("posterior", model.posterior(F.col("votes")))
