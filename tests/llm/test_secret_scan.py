@@ -70,3 +70,27 @@ def test_digest_of_no_spans(rows):
     found = s.find_secrets(rows.filter("doc_id = 4"), ["doc_id"])
     assert found.select(F.sha2(base(found), 256)).first()[0] == sha256(b"").hexdigest()
     assert s.find_secrets(rows.limit(0), ["doc_id"]).collect() == []
+
+
+def test_no_byte_of_a_private_key_is_left(spark):
+    body = ["".join(f"Key{i}x+/A"[k % 8] for k in range(64)) for i in range(5)] + ["KeyQx=="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    info = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0011\n"
+    keys = [f"{begin}{gap}{gap.join(body)}{gap}{end}" for gap in ("\n", "\r\n", " ", "\\n", "\n  ", "\n> ", '\\n" +\n"')]
+    keys += [f"{begin}\n{info}\n" + "\n".join(body) + f"\n{end}", f"{begin}\n" + "Keyx\n" * 150_000 + end]
+    cut = [f"{begin}{gap}{gap.join(body[:n])}" for gap in ("\n", " ", "\\n", "\n> ") for n in (1, 3, 6)]
+    cut += [f"{begin}\n{info}\n" + "\n".join(body), f"{begin}\nKey", f"{begin}\n" + "Keyx\n" * 150_000 + "Key"]
+    texts = [f"before it {k} after it" for k in keys] + [f"before it {k}" for k in cut]
+    texts += [f"before it {k}\nafter it, and more. {keys[0]}" for k in (cut[2], cut[-3])]
+    texts += [f"A line of {begin} is no key. Nor is {begin} and some words. {keys[0]} {keys[0]} after it"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = s.find_secrets(df, ["doc_id"])
+    left = {r.doc_id: r.t for r in found.select("doc_id", s.redact(F.col("text"), F.col("spans")).alias("t")).collect()}
+    for i, text in enumerate(texts):
+        assert not re.search("Key|KEY|Proc|DEK|0011", left[i]), (i, left[i][:300])
+        assert left[i].startswith("before it [secret]") or i == len(texts) - 1
+        assert ("after it" in text) == ("after it" in left[i])
+    assert left[len(texts) - 1] == (
+        "A line of [secret] is no key. Nor is [secret] and some words. [secret] [secret] after it")
+    for text in texts:
+        assert len(re.findall(s.RULES[5].pattern, text)) == text.count("BEGIN")

@@ -50,6 +50,13 @@ class SecretRule:
 
 # Patterns of the three base kinds and of those this scan adds.
 # Runs of 20 and 24 are written as such: a maximal run matches either way.
+# A private key reaches to its END line if no other marker comes first; with END cut off, over header
+# lines and what can only be base64: long runs, ends of lines or of the text, runs that are no plain word.
+_GAP = r"""(?:[\x20\x09-\x0D"',;>#*+]|\\[nrt])*+"""
+_BASE64 = (r"""(?:[A-Za-z0-9+/=]{16,}+|(?=[A-Za-z]*+[0-9+/=]|[A-Za-z]*[a-z][A-Z])[A-Za-z0-9+/=]++"""
+           r"""|[A-Za-z]++(?=[\x20\x09"',;+]*+(?:[\r\n]|\\[nr]|(?![\s\S]))))""")
+_KEY = (r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*+(?:-{1,4}+[^-]++)*+-----END [A-Z ]*PRIVATE KEY-----"
+        rf"|(?:{_GAP}(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+(?:{_GAP}{_BASE64})*+)")
 RULES = (
     SecretRule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                least=6, group=2, fold=True, base=True),
@@ -57,7 +64,7 @@ RULES = (
     SecretRule("hex", r"[0-9a-f]{24,}", base=True),
     SecretRule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     SecretRule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-    SecretRule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    SecretRule("private_key", _KEY),
     SecretRule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
 )
 
