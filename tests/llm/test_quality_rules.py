@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -45,3 +46,21 @@ def test_accuracies_follow_agreement(docs):
 def test_an_empty_table_gives_no_rows(docs):
     m = q.measure(docs.limit(0).select("doc_id", "text"), ["doc_id"])
     assert q.judge(m, q.fit(m)).collect() == []
+
+
+def test_a_long_text_is_judged_like_its_parts(spark):
+    random.seed(5)
+    vocabulary = ["".join(random.choices("abcdefghijklmnoprstuvw", k=random.randrange(2, 9))) for _ in range(9_000)]
+
+    def prose(n):
+        drawn = random.choices(vocabulary, weights=[1 / (k + 3) for k in range(len(vocabulary))], k=n)
+        return "\n".join(" ".join(drawn[i:i + 12]).capitalize() + "." for i in range(0, n, 12))
+
+    rows = [(1, prose(150_000)), (2, prose(1_500)), (3, prose(20_000)), (4, "cheap pills here today only " * 30_000),
+            (5, "\n".join(" ".join(random.choices(vocabulary[:90], k=12)) for _ in range(9_000)))]
+    m = q.measure(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"])
+    judged = {r.doc_id: r for r in q.judge(m, q.fit(m)).collect()}
+    assert judged[1].n_distinct < 0.1 * judged[1].n_words
+    variety = [r.name for r in q.RULES].index("variety")
+    assert {i: r.votes[variety] for i, r in judged.items()} == {1: "g", 2: "g", 3: "g", 4: "b", 5: "b"}
+    assert {i: r.kept for i, r in judged.items()} == {1: True, 2: True, 3: True, 4: False, 5: False}

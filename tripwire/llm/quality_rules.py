@@ -43,6 +43,9 @@ class Rule:
 
 
 NEVER = "false"
+# The share of distinct words falls with a text's length in any language, so from this many words
+# on a text needs no more distinct ones.
+VARIED = 2_000
 RULES = (
     Rule("symbols", "n_symbols > 0.3 * n_words", NEVER),
     Rule("line_repeats", "n_dup_lines > 0.5 * n_lines", NEVER),
@@ -50,7 +53,8 @@ RULES = (
     Rule("word_length", "word_chars < 2.5 * n_words or word_chars > 14 * n_words", NEVER),
     Rule("capitals", "n_caps > 0.3 * n_words", NEVER),
     Rule("marks", "n_marks > 0.3 * n_words", NEVER),
-    Rule("variety", "n_words >= 50 and n_distinct < 0.1 * n_words", "n_words >= 50 and n_distinct > 0.3 * n_words"),
+    Rule("variety", f"n_words >= 50 and n_distinct < 0.1 * least(n_words, {VARIED})",
+         f"n_words >= 50 and n_distinct > 0.3 * least(n_words, {VARIED})"),
     Rule("prose", NEVER, "n_stops > 0.05 * n_words and n_symbols < 0.05 * n_words"),
 )
 
