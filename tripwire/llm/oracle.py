@@ -79,10 +79,71 @@ select d.doc_id, coalesce(n_assign, 0) n_assign, coalesce(n_access, 0) n_access,
 )
 
 
+_PLAIN = "coalesce(cast({0} as varchar), ' ')"
+# CRC-32 bit by bit: a byte is mixed in before the first of its eight shifts.
+_CRC = """xor(list_reduce(flatten(list_transform(string_split({0}, ''), lambda c: [ord(c), 0, 0, 0, 0, 0, 0, 0])),
+ lambda a, x: xor(xor(a, cast(x as bigint)) >> 1, case when xor(a, cast(x as bigint)) & 1 = 1 then 3988292384 else 0 end), 4294967295), 4294967295)"""
+
+# Forwards over the rows of all conversations at once: the cheapest way into each state (0 nothing, 1 system, 2 user,
+# 3 assistant) with its audit and text. Equal costs at the same row are told apart by the audit so far.
+_BREAK = "case when b.t = '' then '' else chr(10) end"
+_INSERTS = f"""select conv_id, i, o.s state, min({{'c': b.c + 2 * length(o.letters), 'a': b.a || o.letters,
+  't': b.t || case when o.letters = '' then '' else {_BREAK} || o.made end}}) b
+ from (select *, unnest(case state when 2 then [{{'letters': '', 's': 2, 'made': ''}}, {{'letters': 'I', 's': 3, 'made': 'assistant:'}}]
+  else [{{'letters': '', 's': state, 'made': ''}}, {{'letters': 'I', 's': 2, 'made': 'user:'}},
+   {{'letters': 'II', 's': 3, 'made': 'user:' || chr(10) || 'assistant:'}}] end) o from FROM_HERE) group by conv_id, i, o.s"""
+_STEP = f"""(select conv_id, i, o.s state, min({{'c': b.c + o.c, 'a': b.a || o.letter,
+  't': b.t || case when o.letter = 'D' then '' else {_BREAK} || o.line end}}) b
+ from (select p.conv_id, m.n i, p.b, unnest(list_filter([{{'letter': 'D', 'c': 3, 's': p.state, 'line': ''}},
+   {{'letter': 'K', 'c': m.more, 's': case when left(m.r, 1) = 's' and p.state = 0 then 1 when left(m.r, 1) = 'u' and p.state <> 2 then 2
+     when left(m.r, 1) = 'a' and p.state = 2 then 3 end, 'line': m.r || ':' || m.t}},
+   {{'letter': 'R', 'c': 2 + m.more, 's': case when p.state = 2 then 3 else 2 end,
+     'line': case when p.state = 2 then 'assistant:' else 'user:' end || m.t}}],
+   lambda x: x.s is not null and (x.letter = 'D' or m.more < 2))) o
+  from paths p join (select *, case fault when '' then 0 when 'truncated' then 1 else 2 end more from marked) m
+   on m.conv_id = p.conv_id and m.n = p.i + 1) group by conv_id, i, o.s)"""
+
+REPAIR = f"""with recursive plain as (select conv_id, turn, {_PLAIN.format("role")} r, {_PLAIN.format("text")} t,
+ {_CRC.format(f"{_PLAIN.format('conv_id')} || ':' || {_PLAIN.format('turn')}")} % 20 kind from conversations),
+damaged as (select conv_id, turn, case when kind = 4 then 'user' else r end r, case kind when 1 then ''
+ when 2 then translate(t, '.!?', '') else t end t, unnest(case when kind = 3 then [0, 1] else [0] end) as copy_no from plain where kind <> 0),
+numbered as (select *, row_number() over (partition by conv_id order by turn nulls first, r, left(t, 100), md5(t), copy_no) n from damaged),
+marked as materialized (select *, case when not regexp_matches(t, '[^\\x20\\x09-\\x0D]') then 'blank'
+ when row_number() over (partition by conv_id, r, t order by n) > 1 then 'duplicate'
+ when not regexp_matches(t, '[.!?][\\x20\\x09-\\x0D]*\\z') then 'truncated' else '' end fault,
+ lead(left(r, 1)) over (partition by conv_id order by n) follower from numbered),
+told as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps, count(*) filter (where fault = 'blank') blank,
+ count(*) filter (where fault = 'duplicate') duplicate, count(*) filter (where fault = 'truncated') truncated,
+ count(*) filter (where left(r, 1) || follower not in ('su', 'ua', 'au')) illegal, count(*) n_rows from marked group by conv_id),
+begun as (select conv_id, cast(0 as bigint) i, 0 state, {{'c': 0, 'a': '', 't': ''}} b from told),
+paths as (select conv_id, i, state, b from ({_INSERTS.replace("FROM_HERE", "begun")})
+ union all select conv_id, i, state, b from ({_INSERTS.replace("FROM_HERE", _STEP)})),
+ended as (select p.conv_id, min(b) b from paths p join told on told.conv_id = p.conv_id and p.i = n_rows
+ where state in (0, 3) group by p.conv_id)
+select c.conv_id, coalesce(gaps, 0) gaps, coalesce(blank, 0) blank, coalesce(duplicate, 0) duplicate, coalesce(truncated, 0) truncated,
+ coalesce(illegal, 0) illegal, cast(coalesce(b.c, 0) as bigint) "cost", coalesce(b.a, '') audit, sha256(coalesce(b.t, '')) repaired_sha256
+from (select distinct conv_id from conversations) c left join told on told.conv_id = c.conv_id left join ended on ended.conv_id = c.conv_id"""
+
+NEGATIVES = """with whole as materialized (select cast(vec_id as bigint) id, cast(case when vec_id % 7 = 0 then (label + 1) % 10 else label end as bigint) l,
+ list_transform(embedding, lambda x: floor(256 * cast(x as double))) v from embeddings where vec_id is not null and label is not null
+ and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as materialized (select a.id anchor, r.id other, a.l = r.l same, cast(list_dot_product(a.v, r.v) as bigint) s
+ from whole a join whole r on true where a.id % 50 = 0),
+near as (select anchor, other, s from scored where same and other <> anchor
+ qualify row_number() over (partition by anchor order by s desc, other) <= 5),
+ranked as (select p.anchor anchor_id, p.other positive_id,
+ cast(row_number() over (partition by p.anchor, p.other order by n.s desc, n.other) as int) "rank",
+ n.other negative_id, p.s positive_score, n.s negative_score from near p join scored n
+ on n.anchor = p.anchor and not n.same and 50 * p.s <= 100 * n.s and 100 * n.s <= 95 * p.s)
+select * from ranked where "rank" <= 3"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_mix_sources": MIX,
         "op4_warc_chunks": ARCHIVES,
         "op6_circulant_minhash": NEAR_DUPLICATES,
         "op7_secret_scan": SECRETS,
+        "op12_conversation_repair": REPAIR,
+        "op13_hyperplane_tree": NEGATIVES,
     }

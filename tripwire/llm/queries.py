@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tripwire.functions.frames import tune, written
 from tripwire.llm import (
-    circulant_minhash, decontamination, license_spans, mixing, quality_machine, quality_rules, secret_scan,
-    toxicity, url_ratio, warc_chunks,
+    byte_bpe, circulant_minhash, conversation_repair, decontamination, hyperplane_tree, license_spans, mixing, quality_machine,
+    quality_rules, secret_scan, toxicity, url_ratio, warc_chunks,
 )
 from tripwire.llm.common import table, text_of
 from tripwire.llm.oracle import oracle_sql
@@ -87,6 +87,26 @@ def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_spans.scan(table(tune(spark), sf_dir, "documents").select("doc_id", "text"))
 
 
+def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    codec = byte_bpe.Codec(byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    encoded = byte_bpe.encode(table(tune(spark), sf_dir, "documents"), ["doc_id"], codec)
+    decoded = byte_bpe.decode(encoded, ["doc_id", "n_tokens", "ids"], codec)
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damaged(table(tune(spark), sf_dir, "conversations")))
+
+
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    rows = hyperplane_tree.prepared(table(tune(spark), sf_dir, "embeddings"))
+    moved = rows.withColumn("label", F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hyperplane_tree.mine(moved, vec_id % 50 == 0)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_url_ratio": url_filter,
@@ -99,6 +119,9 @@ def queries() -> dict[str, Query]:
         "op8_quality_rules": quality,
         "op9_decontamination": leaks,
         "op10_license_spans": licenses,
+        "op11_byte_bpe": tokens,
+        "op12_conversation_repair": repairs,
+        "op13_hyperplane_tree": hard_negatives,
         "pipeline": pipeline,
     }
 
