@@ -18,10 +18,11 @@ def _listed(values: list[str]) -> str:
 
 
 # Fixed values, stated here on their own: part groups with short lead times, and with stock below zero.
-SHORT_LEAD_GROUPS = [f"{n:03d}" for n in range(2, 22)] + (
-    "050 085 086 087 088 090 093 094 095 096 097 099 100 107 120 200 203 224 226 228 230 232 237 240 244 385 387 "
-    "393 395 396 398 990"
-).split()
+SHORT_LEAD_GROUPS = [
+    "002", "003", "004", "005", "006", "007", "008", "009", "010", "011", "012", "013", "014", "015", "016", "017", "018",
+    "019", "020", "021", "050", "085", "086", "087", "088", "090", "093", "094", "095", "096", "097", "099", "100", "107",
+    "120", "200", "203", "224", "226", "228", "230", "232", "237", "240", "244", "385", "387", "393", "395", "396", "398", "990",
+]
 NEGATIVE_STOCK_GROUPS = ["002", "004", "085", "094", "097", "100", "120", "226", "230"]
 
 LIVE = "n.ord_status not in ('C','F','I')"
@@ -36,12 +37,12 @@ CONDITIONS: dict[int, tuple[list[str], str]] = {
     3: ([], "n.inv_inv_email_sent = false and n.inv_no <> 0 and n.inv_subtotal >= 0"),
     4: ([], "n.old_inl_status <> 'A' and n.inl_status = 'A'"),
     5: (["planning_lot_quantity"], """n.old_inl_status <> 'F' and n.inl_status = 'F' and n.orl_id <> 0 and n.inl_ship_qty <> 0
- and exists (select 1 from erp_planning_lot_quantity q where q.orl_id = n.orl_id and q.plq_adj_flag = false)"""),
+ and n.orl_id in (select orl_id from erp_planning_lot_quantity where plq_adj_flag = false)"""),
     6: (["order_line"], f"""{NO_PROJECT} and {LIVE} and n.ord_type not in (9, 10)
  and exists (select 1 from erp_order_line l where l.ord_no = n.ord_no and l.orl_quantity = 0 and l.prt_no <> '')"""),
     7: (["order_line"], f"""{NO_PROJECT} and {LIVE} and n.ord_type = 9
- and exists (select 1 from erp_order_line l where l.ord_no = n.ord_no and l.prt_no <> '')
- and not exists (select 1 from erp_order_line l where l.ord_no = n.ord_no and l.prt_no <> '' and l.orl_quantity <> 0)"""),
+ and n.ord_no in (select ord_no from erp_order_line where prt_no <> '')
+ and n.ord_no not in (select ord_no from erp_order_line where prt_no <> '' and orl_quantity <> 0 and ord_no is not null)"""),
     8: (["order_line"], f"""{NO_PROJECT} and n.ord_status <> 'E' and n.old_ord_status <> 'E' and n.ord_type <> 9 and n.ord_type <> 10
  and exists (select 1 from erp_order_line l where l.ord_no = n.ord_no and l.orl_quantity <> l.orl_reserved_qty
   and (l.orl_quantity <> l.orl_ship_qty or l.orl_quantity <> l.orl_qty_ready + l.orl_ship_qty + l.orl_reserved_qty
@@ -50,16 +51,16 @@ CONDITIONS: dict[int, tuple[list[str], str]] = {
     10: (["order_line"], f"""{NO_PROJECT} and (n.ord_status = 'A' or (n.ord_status = 'B' and n.ord_bo_accptd <> true))
  and n.ord_no in (select ord_no from erp_order_line where orl_req_dt is not null group by ord_no having count(distinct orl_req_dt) > 1)"""),
     11: (["order_line", "part"], f"""{NO_PROJECT}
- and exists (select 1 from erp_order_line l where l.ord_no = n.ord_no and l.prt_no in
+ and n.ord_no in (select ord_no from erp_order_line where prt_no in
   (select prt_no from erp_part where prt_sort ilike 'ASV%' and prt_sort <> 'ASV Tabl' and prt_type = 'F'))
- and not exists (select 1 from erp_order_line l where l.ord_no = n.ord_no and l.prt_no = 'AE750')"""),
+ and n.ord_no not in (select ord_no from erp_order_line where prt_no = 'AE750' and ord_no is not null)"""),
     12: ([], f"{NO_PROJECT} and n.ord_pmt_term = 4 and n.ord_status in ('A','B','D','E') and n.ord_type = 1 and n.ord_pkg_cost = 0"),
-    13: (["order_line"], f"""{NO_PROJECT} and {LIVE} and exists (
-  select 1 from erp_order_line l join erp_order_header h on h.ord_no = l.ord_no
-  join erp_order_line l2 on l2.prt_no = l.prt_no and l2.ord_no <> l.ord_no
-  join erp_order_header h2 on h2.ord_no = l2.ord_no and h2.cli_id = h.cli_id
-  where h.ord_type = 1 and h.ord_no = n.ord_no and h.cli_id = n.cli_id and l.prt_no <> ''
-   and h2.ord_type = 9 and h2.ord_status not in ('C','F','I'))"""),
+    13: (["order_line"], f"""{NO_PROJECT} and {LIVE} and (n.ord_no, n.cli_id) in (
+  select (h.ord_no, h.cli_id) from erp_order_line l join erp_order_header h on h.ord_no = l.ord_no
+  join (select h2.cli_id, l2.prt_no, l2.ord_no from erp_order_line l2 join erp_order_header h2 on h2.ord_no = l2.ord_no
+   where h2.ord_type = 9 and h2.ord_status not in ('C','F','I') and l2.prt_no <> '') b
+   on b.cli_id = h.cli_id and b.prt_no = l.prt_no and b.ord_no <> l.ord_no
+  where h.ord_type = 1)"""),
     14: (["order_line", "part", "part_group"], f"""{NO_PROJECT} and exists (
   select 1 from erp_order_header h join erp_order_line l on l.ord_id = h.ord_id join erp_part p on p.prt_id = l.prt_id
   join erp_part_group g on g.pgr_id = p.pgr_id
@@ -70,15 +71,16 @@ CONDITIONS: dict[int, tuple[list[str], str]] = {
     16: ([], "n.old_ord_type <> 9 and n.ord_type = 9"),
     17: ([], "n.old_ord_type <> 10 and n.ord_type = 10"),
     18: ([], "n.old_ord_status in ('D','E') and n.ord_status in ('A','B') and n.ord_date <> cast(n.commit_ts as date)"),
-    19: (["order_line", "part_kit"], f"""{LIVE} and exists (
-  select 1 from erp_order_line l join erp_part_kit k on k.pkt_master_prt_id = l.prt_id
-  where l.ord_no = n.ord_no and l.orl_kitmaster_id = 0
-   and k.prt_id not in (select c.prt_id from erp_order_line c where c.orl_kitmaster_id = l.orl_id))"""),
-    20: (["order_line", "part_kit"], f"""{LIVE} and exists (
-  select 1 from erp_order_line l join erp_part_kit k on k.prt_id = l.prt_id
+    19: (["order_line", "part_kit"], f"""{LIVE} and n.ord_no in (
+  select l.ord_no from erp_order_line l join erp_part_kit k on k.pkt_master_prt_id = l.prt_id
+  left join (select distinct orl_kitmaster_id, prt_id from erp_order_line) c on c.orl_kitmaster_id = l.orl_id and c.prt_id = k.prt_id
+  where l.orl_kitmaster_id = 0 and c.orl_kitmaster_id is null
+   and l.orl_id not in (select orl_kitmaster_id from erp_order_line where prt_id is null and orl_kitmaster_id is not null))"""),
+    20: (["order_line", "part_kit"], f"""{LIVE} and n.ord_no in (
+  select l.ord_no from erp_order_line l join erp_part_kit k on k.prt_id = l.prt_id
   join erp_order_line p on p.ord_no = l.ord_no and p.orl_id = l.orl_kitmaster_id
   join erp_order_line m on m.ord_no = l.ord_no and m.prt_id = k.pkt_master_prt_id
-  where l.ord_no = n.ord_no and k.pkt_qty * p.orl_quantity <> l.orl_quantity)"""),
+  where k.pkt_qty * p.orl_quantity <> l.orl_quantity)"""),
     21: (["order_line", "part"], """lower(n.car_name) like '%ups%' and exists (
   select 1 from erp_part p join erp_order_line l on l.prt_no = p.prt_no where p.prt_usr_flag1 and l.ord_no = n.ord_no)"""),
     22: ([], "n.cli_bo_accptd and (n.cli_creation_dt = cast(n.commit_ts as date) or n.old_cli_active <> n.cli_active)"),
@@ -88,8 +90,8 @@ CONDITIONS: dict[int, tuple[list[str], str]] = {
  and (select pqt_real_qty from erp_part_quantity q where q.prt_id = n.prt_id) >=
   (select sum(pld_qty_res) from erp_planning_lot_detailed d where d.prt_id = n.prt_id and d.pld_adj_flag = false) + n.pld_qty_for
  and (select plq_adj_flag from erp_planning_lot_quantity q where q.plq_id = n.plq_id) = false"""),
-    25: ([], """n.pld_lvl = 0 and not exists (
-  select 1 from erp_planning_lot_detailed d where d.plq_lot_no = n.plq_lot_no and d.pld_lvl > 0)"""),
+    25: ([], """n.pld_lvl = 0 and coalesce(n.plq_lot_no not in (
+  select plq_lot_no from erp_planning_lot_detailed where pld_lvl > 0 and plq_lot_no is not null), true)"""),
     26: ([], "n.pul_rcvd_qty <> n.old_pul_rcvd_qty"),
     27: ([], "n.pul_rcvd_qty > n.pul_prch_qty"),
     28: (["purchase_order_header", "part", "part_supplier"], """n.prt_no <> '' and (

@@ -140,7 +140,8 @@ def oracle_ctes(*names: str) -> str:
     order: list[str] = []
     for name in names:
         order += [t for t in _needed(f"erp_{name}") if t not in order]
-    ctes = ",\n".join(f"{t} as ({MAPPING[t][1]})" for t in order)
+    # Each mapped table once, however often it is read.
+    ctes = ",\n".join(f"{t} as materialized ({MAPPING[t][1]})" for t in order)
     for table in names:
         ctes = ctes.replace("TIMESTAMP_NTZ", "TIMESTAMP")
     # part numbers compare without their padding, as after ``normalise``

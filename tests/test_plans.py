@@ -68,6 +68,23 @@ def test_line_facts_take_one_shuffle(spark, no_broadcast):
     assert plan.count("Exchange hashpartitioning") == 1 and "partial_" in plan
 
 
+@pytest.mark.parametrize("build, table, on", [
+    (facts.line_facts, "order_line", ["ord_no"]), (facts.client_po_numbers, "order_header", ["inv_cli_id", "ord_cli_ord_no"]),
+    (facts.unrun_lots, "planning_lot_quantity", ["orl_id"]), (facts.purchase_suppliers, "purchase_order_header", ["puh_id"])])
+def test_many_keys_cut_a_fact_without_another_shuffle(spark, no_broadcast, build, table, on):
+    """Keys too many to broadcast meet the combined rows where they lie: one shuffle of the table, one of the keys."""
+    _, tabs = open_tables(spark, SF)
+    keys = tabs[table].select(*on).distinct()
+    plan = plan_of(build(tabs, keys))
+    assert plan.count("Exchange hashpartitioning") == 2 and "partial_" in plan and "LeftSemi" in plan
+
+
+def test_all_order_rules_shuffle_less_than_once_per_rule_and_table(spark, no_broadcast):
+    star, tabs = open_tables(spark, SF)
+    plan = plan_of(evaluate(star.changes("order_header"), "order_header", tabs))
+    assert plan.count("Exchange hashpartitioning") <= 60
+
+
 def skewed_shop(spark, n):
     """A shop where one order, client, part and kit line hold a third of all lines."""
     tabs = tables(spark)

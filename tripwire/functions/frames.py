@@ -58,13 +58,46 @@ def join_unique(left: DataFrame, right: DataFrame, on: str | list[str], how: str
     ).drop("spread")
 
 
-def merge_by_key(frames: list[DataFrame], keys: list[str]) -> DataFrame:
-    """One row per key with the columns of all frames, each unique by key."""
+def estimated_bytes(df: DataFrame) -> int:
+    """What Catalyst expects a table to hold; very much where it knows nothing."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """The size up to which Spark broadcasts a side of a join; -1 for never."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
+# A cut pays where the keys asked about are fewer than one in so many bytes of the key column.
+CUT_PAYS = 8
+
+
+def only(rows: DataFrame, keys: DataFrame | None, *on: str) -> DataFrame:
+    """The rows whose ``on`` columns are among ``keys``, where dropping the others early pays.
+
+    That is where the keys are small enough to broadcast, so that the cut moves no
+    row of ``rows``, and few against the table. All rows else: what they give for
+    other keys goes at the end, see ``cut``, in a join that moves nothing either.
+    """
+    if keys is None:
+        return rows
+    size = estimated_bytes(keys)
+    if size > broadcast_limit(rows.sparkSession) or size * CUT_PAYS > estimated_bytes(rows.select(*on)):
+        return rows
+    return rows.join(keys.select(*on), list(on), "left_semi")
+
+
+def cut(facts: DataFrame, keys: DataFrame | None, *on: str) -> DataFrame:
+    """The facts of ``keys``; both were aggregated by ``on`` and lie alike, so that this is no shuffle."""
+    return facts if keys is None else facts.join(keys.select(*on), list(on), "left_semi")
+
+
+def merge_by_key(frames: list[DataFrame], keys: DataFrame) -> DataFrame:
+    """The columns of all frames, each unique by key, for each of ``keys``; all lie alike."""
     if len(frames) == 1:
         return frames[0]
-    columns = list(dict.fromkeys(c for f in frames for c in f.columns if c not in keys))
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in columns])
+    on = keys.columns
+    return reduce(lambda known, frame: known.join(frame, on, "left"), frames, keys)
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -4,10 +4,12 @@ Each fact is an aggregate that Spark combines before its shuffle, so an order,
 part or client that holds a large share of the rows still reaches the shuffle
 as one row per task. Rules then join to a side that is unique on the join key.
 
-``keys`` holds the keys that the changes ask about, without repeats. Rows of
-other keys are dropped by a semi-join right after the scan, so a small batch of
-changes aggregates its own orders and not the whole table. Without ``keys`` a
-fact is computed for every key.
+``keys`` holds the keys that the changes ask about, without repeats. Few keys are
+broadcast and drop all other rows at the scan (``only``), so a small batch of
+changes aggregates its own orders and not the whole table. Many keys cut the
+finished facts (``cut``): those lie by key as the keys do, so that each table is
+shuffled once, after its rows were combined, and not a second time to drop rows.
+Without ``keys`` a fact is computed for every key.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from tripwire.functions.columns import (
     has_part,
     is_live,
 )
-from tripwire.functions.frames import join_unique
+from tripwire.functions.frames import cut, join_unique, only
 from tripwire.operators.kits import kit_sizes
 
 Tables = Mapping[str, DataFrame]
@@ -45,11 +47,6 @@ LEAD_DAYS = 14
 Keys = DataFrame | None
 
 
-def only(rows: DataFrame, keys: Keys, *on: str) -> DataFrame:
-    """The rows whose ``on`` columns are among ``keys``."""
-    return rows if keys is None else join_unique(rows, keys.select(*on), list(on), "left_semi")
-
-
 def line_facts(tables: Tables, keys: Keys = None) -> DataFrame:
     """Per order, what its lines say: one pass over the lines, one shuffle."""
     qty, reserved = F.col("orl_quantity"), F.col("orl_reserved_qty")
@@ -58,7 +55,7 @@ def line_facts(tables: Tables, keys: Keys = None) -> DataFrame:
     unreserved = (qty != reserved) & (
         (qty != shipped) | (qty != ready + shipped + reserved) | (qty != shipped + reserved)
     )
-    return only(tables["order_line"], keys, "ord_no").groupBy("ord_no").agg(
+    return cut(only(tables["order_line"], keys, "ord_no").groupBy("ord_no").agg(
         any_true(qty - ready != 0).alias("has_unready_line"),
         any_true((qty == 0) & named).alias("has_zero_line"),
         F.count_if(named).alias("named_lines"),
@@ -67,7 +64,7 @@ def line_facts(tables: Tables, keys: Keys = None) -> DataFrame:
         F.min("orl_req_dt").alias("first_req_dt"),
         F.max("orl_req_dt").alias("last_req_dt"),
         any_true(F.col("prt_no") == REQUIRED_ACCESSORY).alias("has_accessory"),
-    )
+    ), keys, "ord_no")
 
 
 def part_facts(tables: Tables, keys: Keys = None) -> DataFrame:
@@ -89,14 +86,10 @@ def part_facts(tables: Tables, keys: Keys = None) -> DataFrame:
         .agg(any_true(F.col("asv")).alias("asv"), any_true(F.col("truck")).alias("truck"))
     )
     lines = only(tables["order_line"].select("ord_no", "prt_no"), keys, "ord_no")
-    return (
-        join_unique(lines, flags, "prt_no")
-        .groupBy("ord_no")
-        .agg(
-            any_true(F.col("asv")).alias("needs_accessory"),
-            any_true(F.col("truck")).alias("needs_truck"),
-        )
-    )
+    return cut(join_unique(lines, flags, "prt_no").groupBy("ord_no").agg(
+        any_true(F.col("asv")).alias("needs_accessory"),
+        any_true(F.col("truck")).alias("needs_truck"),
+    ), keys, "ord_no")
 
 
 def order_facts(tables: Tables) -> DataFrame:
@@ -127,12 +120,12 @@ def short_lead_orders(
         .join(bound_parts.select("prt_id"), "prt_id", "left_semi")
         .groupBy("ord_id").agg(F.min("orl_req_dt").alias("earliest"))
     )
-    return (
+    found = (
         header.join(earliest, "ord_id")
         .filter(F.col("earliest") < F.date_add("ord_date", lead_days))
         .select("ord_no").distinct()
-        .withColumn("has_short_lead", F.lit(True))
     )
+    return cut(found, keys, "ord_no").withColumn("has_short_lead", F.lit(True))
 
 
 def blanket_part_orders(tables: Tables, keys: Keys = None, blanket_live_only: bool = True) -> DataFrame:
@@ -149,28 +142,27 @@ def blanket_part_orders(tables: Tables, keys: Keys = None, blanket_live_only: bo
         blankets = blankets.filter(is_live(F.col("ord_status")))
     if keys is not None:
         blankets = only(blankets, orders.select("cli_id").distinct(), "cli_id")
+    # Both kinds of order meet their lines in one join; no order is both.
+    headers = orders.withColumn("is_blanket", F.lit(False)).unionByName(
+        blankets.select("ord_no", "cli_id", F.lit(True).alias("is_blanket")))
     lines = tables["order_line"].filter(has_part(F.col("prt_no"))).select("ord_no", "prt_no")
-    touched = None if keys is None else blankets.select("ord_no").distinct()
-    held = (
-        only(lines, touched, "ord_no").distinct().join(blankets, "ord_no")
-        .groupBy("cli_id", "prt_no")
-        .agg(F.min("ord_no").alias("low"), F.max("ord_no").alias("high"))
-    )
-    asked = only(lines, keys, "ord_no").distinct().join(orders, "ord_no")
-    return (
-        join_unique(asked, held, ["cli_id", "prt_no"])
+    if keys is not None:
+        lines = only(lines, headers.select("ord_no").distinct(), "ord_no")
+    held_by = join_unique(lines, headers, "ord_no")
+    held = held_by.filter("is_blanket").groupBy("cli_id", "prt_no").agg(F.min("ord_no").alias("low"), F.max("ord_no").alias("high"))
+    found = (
+        join_unique(held_by.filter("not is_blanket"), held, ["cli_id", "prt_no"])
         .filter(other_than(F.col("ord_no")))
         .groupBy("ord_no").agg(F.min("cli_id").alias("blanket_cli_id"))
     )
+    return cut(found, keys, "ord_no")
 
 
 def client_po_numbers(tables: Tables, keys: Keys = None) -> DataFrame:
     """Per invoiced client and client order number, the lowest and highest order."""
-    return (
-        only(tables["order_header"].filter(F.col("ord_cli_ord_no") != ""), keys, "inv_cli_id", "ord_cli_ord_no")
-        .groupBy("inv_cli_id", "ord_cli_ord_no")
-        .agg(F.min("ord_no").alias("low"), F.max("ord_no").alias("high"))
-    )
+    on = ["inv_cli_id", "ord_cli_ord_no"]
+    numbered = only(tables["order_header"].filter(F.col("ord_cli_ord_no") != ""), keys, *on)
+    return cut(numbered.groupBy(*on).agg(F.min("ord_no").alias("low"), F.max("ord_no").alias("high")), keys, *on)
 
 
 def other_than(own: Column) -> Column:
@@ -201,7 +193,7 @@ def missing_component_orders(tables: Tables, keys: Keys = None) -> DataFrame:
         F.col("orl_kitmaster_id").alias("parent_id"), F.col("prt_id").alias("under_prt_id")
     )
     under = only(below, asked, "parent_id").distinct().withColumn("is_line", F.lit(True))
-    return (
+    lacking = (
         join_unique(parents.join(under, "parent_id", "left"), kit_parts, ["master", "under_prt_id"], "left")
         .groupBy("parent_id", "ord_no", "components")
         .agg(
@@ -214,8 +206,8 @@ def missing_component_orders(tables: Tables, keys: Keys = None) -> DataFrame:
             | (~F.col("has_unknown") & (F.col("present") < F.col("components")))
         )
         .select("ord_no").distinct()
-        .withColumn("lacks_component", F.lit(True))
     )
+    return cut(lacking, keys, "ord_no").withColumn("lacks_component", F.lit(True))
 
 
 def off_ratio_orders(tables: Tables, keys: Keys = None) -> DataFrame:
@@ -224,8 +216,7 @@ def off_ratio_orders(tables: Tables, keys: Keys = None) -> DataFrame:
     The kit may be the part of *any* line of the order. Of all kits on an order
     only the lowest and highest ratio of a component matter: if both give the
     line's quantity, every one between does. So the contents of the kits on an
-    order shrink to one row per component before the lines meet them. A kit's
-    contents are one row, so a kit on very many orders can be split.
+    order shrink to one row per component, combined before the shuffle.
     """
     lines = only(
         tables["order_line"].select("ord_no", "orl_id", "prt_id", "orl_quantity", "orl_kitmaster_id"),
@@ -234,11 +225,10 @@ def off_ratio_orders(tables: Tables, keys: Keys = None) -> DataFrame:
     contents = (
         tables["part_kit"].groupBy(F.col("pkt_master_prt_id").alias("master"), "prt_id")
         .agg(F.min("pkt_qty").alias("low"), F.max("pkt_qty").alias("high"))
-        .groupBy("master").agg(F.collect_list(F.struct("prt_id", "low", "high")).alias("parts"))
     )
     kits_on_order = lines.select("ord_no", F.col("prt_id").alias("master")).distinct()
     ratios = (
-        join_unique(kits_on_order, contents, "master").select("ord_no", F.inline("parts"))
+        kits_on_order.join(contents, "master")
         .groupBy("ord_no", "prt_id").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     )
     parents = lines.select(
@@ -246,20 +236,18 @@ def off_ratio_orders(tables: Tables, keys: Keys = None) -> DataFrame:
     )
     components = lines.filter(F.col("orl_kitmaster_id") != 0).join(parents, ["ord_no", "orl_kitmaster_id"])
     qty, parent_qty = F.col("orl_quantity"), F.col("parent_qty")
-    return (
+    found = (
         join_unique(components.select("ord_no", "prt_id", "orl_quantity", "parent_qty"), ratios, ["ord_no", "prt_id"])
         .filter((F.col("low") * parent_qty != qty) | (F.col("high") * parent_qty != qty))
         .select("ord_no").distinct()
-        .withColumn("has_off_ratio", F.lit(True))
     )
+    return cut(found, keys, "ord_no").withColumn("has_off_ratio", F.lit(True))
 
 
 def unrun_lots(tables: Tables, keys: Keys = None) -> DataFrame:
     """Order lines with a planning lot that is not adjusted yet."""
-    return (
-        only(tables["planning_lot_quantity"], keys, "orl_id").filter(~F.col("plq_adj_flag")).select("orl_id").distinct()
-        .withColumn("has_unrun_lot", F.lit(True))
-    )
+    unrun = only(tables["planning_lot_quantity"], keys, "orl_id").filter(~F.col("plq_adj_flag")).select("orl_id").distinct()
+    return cut(unrun, keys, "orl_id").withColumn("has_unrun_lot", F.lit(True))
 
 
 def manufactured_stock(tables: Tables, keys: Keys = None) -> DataFrame:
@@ -272,28 +260,24 @@ def manufactured_stock(tables: Tables, keys: Keys = None) -> DataFrame:
         .groupBy("prt_id").agg(F.sum("pld_qty_res").alias("open_reserved"))
     )
     masters = tables["bill_of_materials_mat"].select(F.col("prt_master_id").alias("prt_id"))
-    return (
-        only(tables["part_quantity"], keys, "prt_id").groupBy("prt_id").agg(F.min("pqt_real_qty").alias("stock"))
-        .join(masters, "prt_id", "left_semi")
-        .join(reserved, "prt_id")
-    )
+    stock = only(tables["part_quantity"], keys, "prt_id").groupBy("prt_id").agg(F.min("pqt_real_qty").alias("stock"))
+    return cut(stock.join(masters, "prt_id", "left_semi").join(reserved, "prt_id"), keys, "prt_id")
 
 
 def lot_flags(tables: Tables, keys: Keys = None) -> DataFrame:
-    return only(tables["planning_lot_quantity"], keys, "plq_id").groupBy("plq_id").agg(
+    return cut(only(tables["planning_lot_quantity"], keys, "plq_id").groupBy("plq_id").agg(
         F.min("plq_adj_flag").alias("lot_adjusted")
-    )
+    ), keys, "plq_id")
 
 
 def lots_with_components(tables: Tables, keys: Keys = None) -> DataFrame:
-    return (
-        only(tables["planning_lot_detailed"], keys, "plq_lot_no").filter(F.col("pld_lvl") > 0).select("plq_lot_no").distinct()
-        .withColumn("lot_has_components", F.lit(True))
-    )
+    lots = only(tables["planning_lot_detailed"], keys, "plq_lot_no").filter(F.col("pld_lvl") > 0).select("plq_lot_no").distinct()
+    return cut(lots, keys, "plq_lot_no").withColumn("lot_has_components", F.lit(True))
 
 
 def purchase_suppliers(tables: Tables, keys: Keys = None) -> DataFrame:
-    return only(tables["purchase_order_header"], keys, "puh_id").groupBy("puh_id").agg(F.min("sup_id").alias("sup_id"))
+    return cut(only(tables["purchase_order_header"], keys, "puh_id").groupBy("puh_id").agg(
+        F.min("sup_id").alias("sup_id")), keys, "puh_id")
 
 
 def known_suppliers(tables: Tables, keys: Keys = None) -> DataFrame:
@@ -303,7 +287,5 @@ def known_suppliers(tables: Tables, keys: Keys = None) -> DataFrame:
     suppliers = tables["part_supplier"].select("prt_id", "sup_id")
     if keys is not None:
         suppliers = only(suppliers, parts.select("prt_id").distinct(), "prt_id")
-    return (
-        suppliers.join(parts, "prt_id").select("prt_no", "sup_id").distinct()
-        .withColumn("supplier_known", F.lit(True))
-    )
+    known = suppliers.join(parts, "prt_id").select("prt_no", "sup_id").distinct()
+    return cut(known, keys, "prt_no", "sup_id").withColumn("supplier_known", F.lit(True))

@@ -98,6 +98,6 @@ def attach_facts(changes: DataFrame, facts: list[Fact], tables: Tables) -> DataF
             changes = fact.attach(changes, tables)
         elif alike[0] is fact:
             keys = asked_keys(changes, fact.on)
-            merged = merge_by_key([f.build(tables, keys) for f in alike], list(fact.on))
+            merged = merge_by_key([f.build(tables, keys) for f in alike], keys)
             changes = join_fact(changes, merged, fact.on)
     return changes

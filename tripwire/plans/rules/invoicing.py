@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tripwire.functions.frames import one_row_per_key
+from tripwire.functions.frames import cut, one_row_per_key, only
 from tripwire.operators import facts
 from tripwire.plans.rules.base import INSERT, Fact, Rule, Tables, becomes, new
 
 
 def _back_order_flags(tables: Tables, keys: facts.Keys = None):
-    return one_row_per_key(facts.only(tables["order_header"], keys, "ord_no"), "ord_no", ["ord_bo_accptd"])
+    return cut(one_row_per_key(only(tables["order_header"], keys, "ord_no"), "ord_no", ["ord_bo_accptd"]), keys, "ord_no")
 
 
 FACTS = {
