@@ -167,6 +167,30 @@ ORDER_FACTS = f"""select l.ord_no, count(*) filter (where l.prt_no <> '') named_
  {_flag('l.prt_no in (select prt_no from erp_part where prt_usr_flag1)')} needs_truck
  from erp_order_line l group by l.ord_no"""
 
+# Each version of a line with the positions of the log between which it held.
+LINE_COLUMNS = "orl_id, ord_no, prt_no, orl_quantity, orl_reserved_qty, orl_ship_qty, orl_qty_ready, orl_req_dt"
+LINE_VERSIONS = f"""line_versions as (
+ select {LINE_COLUMNS}, -1 valid_from, 9000000000000000000 valid_to from erp_order_line where orl_id not in (select orl_id from erp_line_feed)
+ union all select orl_id, ord_no, old_prt_no, old_orl_quantity, orl_reserved_qty, orl_ship_qty, orl_qty_ready, old_orl_req_dt, -1, change_seq
+  from erp_line_feed where op <> 'INSERT'
+ union all select {LINE_COLUMNS}, change_seq, 9000000000000000000 from erp_line_feed where op <> 'DELETE')"""
+ASOF_FACTS = """asked as (select h.* exclude (change_seq), h.change_seq * 1000 + p.n change_seq from erp_order_header h, (values (1), (450), (900)) p(n)),
+held as (select n.change_seq, bool_or(l.orl_quantity = 0 and l.prt_no <> '') zero, count(*) filter (where l.prt_no <> '') named,
+ count(*) filter (where l.prt_no <> '' and l.orl_quantity = 0) named_zero, count(distinct l.orl_req_dt) dates,
+ bool_or(l.orl_quantity <> l.orl_reserved_qty and (l.orl_quantity <> l.orl_ship_qty or l.orl_quantity <> l.orl_qty_ready + l.orl_ship_qty + l.orl_reserved_qty
+  or l.orl_quantity <> l.orl_ship_qty + l.orl_reserved_qty)) unreserved, bool_or(l.prt_no = 'AE750') accessory,
+ bool_or(p.prt_sort ilike 'ASV%' and p.prt_sort <> 'ASV Tabl' and p.prt_type = 'F') asv, bool_or(p.prt_usr_flag1) truck
+ from asked n join line_versions l on l.ord_no = n.ord_no and l.valid_from <= n.change_seq and n.change_seq < l.valid_to
+ left join erp_part p on p.prt_no = l.prt_no group by n.change_seq)"""
+ASOF_CONDITIONS = {
+    6: f"{NO_PROJECT} and {LIVE} and n.ord_type not in (9, 10) and f.zero",
+    7: f"{NO_PROJECT} and {LIVE} and n.ord_type = 9 and f.named > 0 and f.named = f.named_zero",
+    8: f"{NO_PROJECT} and n.ord_status <> 'E' and n.old_ord_status <> 'E' and n.ord_type not in (9, 10) and f.unreserved",
+    10: f"{NO_PROJECT} and (n.ord_status = 'A' or (n.ord_status = 'B' and n.ord_bo_accptd <> true)) and f.dates > 1",
+    11: f"{NO_PROJECT} and f.asv and not f.accessory",
+    21: "lower(n.car_name) like '%ups%' and f.truck",
+}
+
 KIT_PARENTS = """select distinct l.ord_no, l.orl_sort_idx, l.prt_no, l.orl_id from erp_order_line l
  where l.prt_id in (select pkt_master_prt_id from erp_part_kit)"""
 KIT_CHILDREN = """select distinct l.ord_no, l.orl_kitmaster_id parent_id, l.orl_sort_idx, l.prt_no
@@ -408,6 +432,14 @@ def oracle_sql() -> dict[str, str]:
     found["all_alerts"] = _with(needed, body)
 
     found["order_facts"] = _with(["order_line", "part"], ORDER_FACTS)
+    lines = [c for c in ("named_lines", "named_zero_lines", "dates_differ", "has_unready_line", "has_zero_line",
+                         "has_unreserved_line", "has_accessory")]
+    found["facts_incremental"] = _with(["order_line", "part"], f"facts as ({ORDER_FACTS})", f"select ord_no, {', '.join(lines)} from facts")
+    asof = "\nunion all ".join(
+        f"select {r.number} rule_no, '{r.alert}' alert, 'ord_no' ref_type, cast(n.ord_no as varchar) reference, n.app_name, n.commit_ts, "
+        f"n.change_seq from asked n join held f on f.change_seq = n.change_seq where {ASOF_CONDITIONS[r.number]}"
+        for r in CATALOGUE["order_header"][0] if r.number in ASOF_CONDITIONS)
+    found["asof_order_alerts"] = _with(["order_header", "order_line", "line_feed", "part"], LINE_VERSIONS, ASOF_FACTS, asof)
     found["normalise_part"] = _with(["part"], "select * from erp_part")
     found["normalise_flags"] = """select o_orderkey, case when lower(trim(o_orderstatus)) in ('t', 'true') then true
  when lower(trim(o_orderstatus)) in ('f', 'false') then false end flag from orders"""

@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 from checks.star_mapping import StarTables
 from tripwire.functions.frames import shared_folder, tune, written
-from tripwire.operators import enrich, facts, kits, outbox, payload, suppress
+from tripwire.operators import counted, enrich, facts, kits, outbox, payload, suppress
 from tripwire.plans import evaluate, pipeline
 from tripwire.plans.rules import CATALOGUE
 from tripwire.schemas import table_schema
 from tripwire.sources import changes, notifications, sinks
 from tripwire.sources.changes import diff
-from tripwire.sources.snapshots import text_flag
+from tripwire.sources.snapshots import normalise, text_flag
 from tripwire.streaming.suppress_stream import suppress_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,41 @@ def order_alerts(star: StarTables, tables: Tables) -> DataFrame:
     return evaluate.evaluate(star.changes("order_header"), "order_header", tables)
 
 
+def line_feed(star: StarTables) -> DataFrame:
+    """The changes of order lines that led to the mapped lines."""
+    flat = normalise(star.flat("erp_line_feed"), "order_line").withColumn("old_prt_no", F.rtrim("old_prt_no"))
+    columns = table_schema("order_line").names
+    image = lambda before: F.struct(*[
+        F.col(f"old_{c}" if before and f"old_{c}" in flat.columns else c).alias(c) for c in columns])
+    return flat.select(
+        "op", F.col("change_seq").cast("long").alias("change_seq"),
+        F.when(F.col("op") != "INSERT", image(True)).alias("old"), F.when(F.col("op") != "DELETE", image(False)).alias("new"))
+
+
+ASOF_ALERTS = ["ZERO QUANTITY", "COMPLETED BLANKET", "NOT RESERVED", "LINE DATES", "MISSING AE750", "TRUCK SHIPMENT"]
+
+
+def _asof_order_alerts(star: StarTables, tables: Tables) -> DataFrame:
+    """Each order changes before, among and after the changes of its lines; rules see the lines of that moment."""
+    header = star.changes("order_header")
+    feed = header.withColumn("change_seq", F.explode(F.array(*[F.col("change_seq") * 1000 + n for n in (1, 450, 900)])))
+    return evaluate.evaluate(feed, "order_header", tables, ASOF_ALERTS, history={"order_line": line_feed(star)})
+
+
+def _facts_incremental(star: StarTables, tables: Tables) -> DataFrame:
+    """Facts of the lines as they were, moved by three batches of changes; folded into one table after the second."""
+    feed = line_feed(star)
+    before = {**tables, "order_line": counted.held_before(tables, "order_line", ["orl_id"], feed)}
+    store = counted.Store(star.spark, f"{shared_folder(star.spark)}/counts-{uuid4().hex}", counted.LINES)
+    store.begin(before)
+    place = F.col("change_seq") % 1000
+    store.apply(feed.filter(place < 300), tables, 1)
+    store.apply(feed.filter((place >= 300) & (place < 600)), tables, 2)
+    store.compact()
+    store.apply(feed.filter(place >= 600), tables, 3)
+    return store.facts()
+
+
 def candidates(star: StarTables) -> DataFrame:
     """The repeating alerts of the event stream, with user and station; null where unreadable."""
     flat = star.flat("erp_alert_candidates").withColumnRenamed("commit_ts", "time_stamp")
@@ -138,7 +173,7 @@ def _order_facts(star: StarTables, tables: Tables) -> DataFrame:
     found = facts.order_facts(tables)
     return found.select(
         "ord_no", "named_lines", "named_zero_lines",
-        F.coalesce(F.col("first_req_dt") != F.col("last_req_dt"), F.lit(False)).alias("dates_differ"),
+        F.coalesce("dates_differ", F.lit(False)).alias("dates_differ"),
         *[F.coalesce(f, F.lit(False)).alias(f) for f in flags],
     )
 
@@ -297,6 +332,8 @@ def queries() -> dict[str, Query]:
     found = dict(sorted(found.items()))
     found.update({
         "order_alerts": _on_tables(order_alerts),
+        "asof_order_alerts": _on_tables(_asof_order_alerts),
+        "facts_incremental": _on_tables(_facts_incremental),
         "all_alerts": _on_tables(lambda star, t: evaluate.evaluate_all(
             {name: star.changes(name) for name in CATALOGUE}, t)),
         "order_facts": _on_tables(_order_facts),

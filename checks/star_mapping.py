@@ -116,6 +116,14 @@ select orl_id inl_id, ord_no+5000000 inv_pckslp_no, case when (orl_id//10)%23=0
     "erp_blanket_orders": (["erp_order_line", "erp_order_header", "erp_client"], """
 select l.prt_no, l.ord_no, c.cli_no from erp_order_line l join erp_order_header h on h.ord_no=l.ord_no join erp_client c on c.cli_id=h.cli_id
  where h.ord_type=9 and h.ord_status not in ('C','F','I') and l.prt_no<>''"""),
+    # Changes of order lines, of which the mapped lines are the outcome: some lines changed, some are new, some are gone.
+    "erp_line_feed": (["erp_order_line"], """
+select *, case when orl_quantity=0 then 5 else 0 end old_orl_quantity, case when (orl_id//10)%5=0 then 'AE750' else prt_no end old_prt_no,
+ date'2002-02-02' old_orl_req_dt, 'UPDATE' op, ord_no*1000+100+orl_id%7*100 change_seq from erp_order_line where orl_id%3=0
+ union all select *, orl_quantity, prt_no, orl_req_dt, 'INSERT', ord_no*1000+100+orl_id%7*100 from erp_order_line where orl_id%3=1 and (orl_id//10)%4=0
+ union all select -orl_id, ord_no, ord_id, orl_sort_idx, prt_id, prt_no, orl_quantity, orl_reserved_qty, orl_ship_qty, orl_qty_ready,
+  orl_req_dt, orl_kitmaster_id, 0, prt_no, date'2003-03-03', 'DELETE', ord_no*1000+100+orl_id%7*100
+  from erp_order_line where orl_id%3=2 and (orl_id//10)%4=1"""),
     # Alerts that repeat, from the event stream; every fiftieth session text is unreadable.
     "erp_alert_candidates": (["events"], """
 select event_id change_seq, ts commit_ts, event_type alert, 'user' ref_type, cast(user_id%10 as string) reference,

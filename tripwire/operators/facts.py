@@ -47,34 +47,43 @@ LEAD_DAYS = 14
 Keys = DataFrame | None
 
 
-def line_facts(tables: Tables, keys: Keys = None) -> DataFrame:
-    """Per order, what its lines say: one pass over the lines, one shuffle."""
+def line_tests() -> dict[str, Column]:
+    """What is asked of a single line."""
     qty, reserved = F.col("orl_quantity"), F.col("orl_reserved_qty")
     shipped, ready = F.col("orl_ship_qty"), F.col("orl_qty_ready")
     named = has_part(F.col("prt_no"))
-    unreserved = (qty != reserved) & (
-        (qty != shipped) | (qty != ready + shipped + reserved) | (qty != shipped + reserved)
-    )
-    return cut(only(tables["order_line"], keys, "ord_no").groupBy("ord_no").agg(
-        any_true(qty - ready != 0).alias("has_unready_line"),
-        any_true((qty == 0) & named).alias("has_zero_line"),
-        F.count_if(named).alias("named_lines"),
-        F.count_if(named & (qty == 0)).alias("named_zero_lines"),
-        any_true(unreserved).alias("has_unreserved_line"),
+    return {
+        "unready": qty - ready != 0,
+        "zero": (qty == 0) & named,
+        "named": named,
+        "named_zero": named & (qty == 0),
+        "unreserved": (qty != reserved) & (
+            (qty != shipped) | (qty != ready + shipped + reserved) | (qty != shipped + reserved)
+        ),
+        "accessory": F.col("prt_no") == REQUIRED_ACCESSORY,
+    }
+
+
+def line_facts(tables: Tables, keys: Keys = None) -> DataFrame:
+    """Per order, what its lines say: one pass over the lines, one shuffle."""
+    tests = line_tests()
+    found = only(tables["order_line"], keys, "ord_no").groupBy("ord_no").agg(
+        any_true(tests["unready"]).alias("has_unready_line"),
+        any_true(tests["zero"]).alias("has_zero_line"),
+        F.count_if(tests["named"]).alias("named_lines"),
+        F.count_if(tests["named_zero"]).alias("named_zero_lines"),
+        any_true(tests["unreserved"]).alias("has_unreserved_line"),
         F.min("orl_req_dt").alias("first_req_dt"),
         F.max("orl_req_dt").alias("last_req_dt"),
-        any_true(F.col("prt_no") == REQUIRED_ACCESSORY).alias("has_accessory"),
-    ), keys, "ord_no")
-
+        any_true(tests["accessory"]).alias("has_accessory"),
+    )
+    return cut(found, keys, "ord_no").withColumn("dates_differ", F.col("first_req_dt") != F.col("last_req_dt"))
 
-def part_facts(tables: Tables, keys: Keys = None) -> DataFrame:
-    """Per order, whether its part numbers need the accessory or a truck.
 
-    Only the part numbers that carry a flag enter the join, and only two line
-    columns are read.
-    """
+def part_flags(tables: Tables) -> DataFrame:
+    """The part numbers that need the accessory (``asv``) or a truck."""
     sort = F.col("prt_sort")
-    flags = (
+    return (
         tables["part"]
         .select(
             "prt_no",
@@ -85,8 +94,16 @@ def part_facts(tables: Tables, keys: Keys = None) -> DataFrame:
         .groupBy("prt_no")
         .agg(any_true(F.col("asv")).alias("asv"), any_true(F.col("truck")).alias("truck"))
     )
+
+
+def part_facts(tables: Tables, keys: Keys = None) -> DataFrame:
+    """Per order, whether its part numbers need the accessory or a truck.
+
+    Only the part numbers that carry a flag enter the join, and only two line
+    columns are read.
+    """
     lines = only(tables["order_line"].select("ord_no", "prt_no"), keys, "ord_no")
-    return cut(join_unique(lines, flags, "prt_no").groupBy("ord_no").agg(
+    return cut(join_unique(lines, part_flags(tables), "prt_no").groupBy("ord_no").agg(
         any_true(F.col("asv")).alias("needs_accessory"),
         any_true(F.col("truck")).alias("needs_truck"),
     ), keys, "ord_no")

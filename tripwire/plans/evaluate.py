@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripwire.operators.counted import as_of_facts
 from tripwire.operators.payload import encode_payload
 from tripwire.plans.rules import CATALOGUE
 from tripwire.plans.rules.base import Fact, Rule, attach_facts
@@ -18,6 +19,7 @@ Tables = Mapping[str, DataFrame]
 def evaluate(
     changes: DataFrame, table: str, tables: Tables,
     alerts: list[str] | None = None, facts: dict[str, Fact] | None = None,
+    history: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """The alerts raised by ``changes`` of ``table``.
 
@@ -25,8 +27,13 @@ def evaluate(
     change_seq. One change can raise several alerts; ``rule_no`` gives their
     order. Only the facts that the chosen rules read are joined. ``alerts``
     limits the rules; ``facts`` replaces facts of the catalogue by name.
+
+    ``history`` has change feeds of tables that facts read, for the time of the
+    batch. The facts that counts can give (``counted.BY_FACT``) are then as they
+    were at each change; the others are as ``tables`` has them, after the batch.
     """
     all_rules, known_facts = CATALOGUE[table]
+    known_facts = {**known_facts, **as_of_facts(known_facts, table, history or {})}
     rules = [r for r in all_rules if alerts is None or r.alert in alerts]
     known_facts = {**known_facts, **(facts or {})}
 
@@ -68,9 +75,11 @@ def _once_per_transaction(alerts: DataFrame) -> DataFrame:
     return first.unionByName(alone).select(*[c for c in alerts.columns if c != "txn_id"])
 
 
-def evaluate_all(changes: dict[str, DataFrame], tables: Tables) -> DataFrame:
-    """The alerts of every changed table."""
-    found = [evaluate(feed, table, tables) for table, feed in changes.items()]
+def evaluate_all(
+    changes: dict[str, DataFrame], tables: Tables, history: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
+    """The alerts of every changed table; ``history`` as in ``evaluate``."""
+    found = [evaluate(feed, table, tables, history=history) for table, feed in changes.items()]
     return reduce(DataFrame.unionByName, found)
 
 

@@ -33,9 +33,11 @@ class Outcome:
     messages: DataFrame
 
 
-def raise_alerts(changes: dict[str, DataFrame], tables: Tables) -> DataFrame:
+def raise_alerts(
+    changes: dict[str, DataFrame], tables: Tables, history: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
     """Alerts of all feeds with user, station and ``malformed``."""
-    return read_session(evaluate_all(changes, tables)).withColumnRenamed("commit_ts", "time_stamp")
+    return read_session(evaluate_all(changes, tables, history)).withColumnRenamed("commit_ts", "time_stamp")
 
 
 def kinds(alerts: list[str] | None = None, tables: list[str] | None = None) -> tuple[set[str], set[str]]:
@@ -85,11 +87,12 @@ def handle(
 
 
 def run(
-    changes: dict[str, DataFrame], tables: Tables, routing: Routing, log: DataFrame | None = None
+    changes: dict[str, DataFrame], tables: Tables, routing: Routing, log: DataFrame | None = None,
+    history: Mapping[str, DataFrame] | None = None,
 ) -> Outcome:
-    """The whole pipeline over change feeds and snapshots."""
+    """The whole pipeline over change feeds and snapshots; ``history`` as in ``evaluate``."""
     names, refs = kinds(tables=list(changes))
-    return handle(raise_alerts(changes, tables), tables, routing, log, names, refs)
+    return handle(raise_alerts(changes, tables, history), tables, routing, log, names, refs)
 
 
 def run_payloads(

@@ -86,7 +86,7 @@ RULES = [
     Rule(
         10, "LINE DATES", "ord_no",
         lambda: _no_project() & _ships_whole(),
-        lambda: F.col("first_req_dt") != F.col("last_req_dt"), ("lines",),
+        lambda: F.col("dates_differ"), ("lines",),
     ),
     Rule(11, "MISSING AE750", "ord_no", _no_project, _lacks_accessory, ("lines", "parts")),
     Rule(12, "ZERO BANK FEES", "ord_no", lambda: _no_project() & _transfer_without_fee()),
