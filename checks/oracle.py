@@ -602,6 +602,17 @@ def oracle_sql() -> dict[str, str]:
  else 'duplicate' end disposition from cand c left join accepted a on {same} and c.time_stamp = a.ts""",
         recursive=True,
     )
+    # The log of an alert as a list that each time is held against in turn: ten times the microseconds, plus the batch.
+    found["suppress_out_of_order"] = _with(
+        ["alert_candidates"], CANDIDATES,
+        f"""points as (select distinct {keys}, change_seq % 3 batch, epoch_us(time_stamp) us from cand
+ where user_name is not null and station is not null)""",
+        f"""logs as (select {keys}, list_reduce(list([us * 10 + batch] order by batch, us), lambda log, x:
+ case when len(list_filter(log, lambda y: y // 10 < x[1] // 10 and y // 10 > x[1] // 10 - 3600000000)) > 0 then log else log || x end,
+ cast([] as bigint[])) log from points group by {keys})""",
+        f"""select c.change_seq, case when c.user_name is null or c.station is null
+ or list_contains(a.log, epoch_us(c.time_stamp) * 10 + c.change_seq % 3) then 'accepted' else 'duplicate' end disposition
+ from cand c left join logs a on {same}""")
     found["pipeline_dispositions"] = _pipeline(
         """select time_stamp, alert, ref_type, reference, user_name, station, change_seq, disposition from gated
  union all select time_stamp, alert, ref_type, reference, user_name, station, change_seq, 'duplicate' from judged where not passed"""

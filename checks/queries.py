@@ -280,6 +280,19 @@ def _suppress_stream(star: StarTables, tables: Tables) -> DataFrame:
     return star.spark.read.parquet(target).select("change_seq", "disposition")
 
 
+def _suppress_out_of_order(star: StarTables, tables: Tables) -> DataFrame:
+    """The same alerts in three micro-batches, each of which spans the whole time."""
+    source, target = _stored(star, "batches"), _stored(star, "judged")
+    rows = candidates(star).withColumn("time_stamp", F.col("time_stamp").cast("timestamp"))
+    for batch in range(3):
+        rows.filter(F.col("change_seq") % 3 == batch).coalesce(1).write.mode("append").parquet(source)
+    stream = star.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    query = suppress_stream(stream).writeStream.format("parquet").outputMode("append").option(
+        "checkpointLocation", _stored(star, "state")).trigger(availableNow=True).start(target)
+    query.awaitTermination()
+    return star.spark.read.parquet(target).select("change_seq", "disposition")
+
+
 def _alerts_of(star: StarTables, tables: Tables, table: str, *names: str) -> DataFrame:
     raised = evaluate.evaluate(star.changes(table), table, tables, list(names))
     alerts = payload.read_session(raised).withColumnRenamed("commit_ts", "time_stamp")
@@ -402,6 +415,7 @@ def queries() -> dict[str, Query]:
         "alert_log": _on_tables(_alert_log),
         "outbox_table": _on_tables(_outbox_table),
         "suppress_stream": _on_tables(_suppress_stream),
+        "suppress_out_of_order": _on_tables(_suppress_out_of_order),
         "pipeline_dispositions": _on_tables(lambda star, t: _handled(star, t).alerts),
         "pipeline_messages": _on_tables(lambda star, t: _flat_messages(_handled(star, t).messages)),
     })

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tripwire.operators.suppress import accepted_times, is_duplicate, suppress
 from tripwire.schemas import ALERT_KEY
-from tripwire.streaming.suppress_stream import judge
+from tripwire.streaming.suppress_stream import Accepted, judge
 
 HOUR = timedelta(hours=1)
 START = datetime(2024, 1, 1)
@@ -122,20 +122,22 @@ def test_random_events_on_a_coarse_clock(spark, raw):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.integers(0, 500), max_size=60), st.one_of(st.none(), st.integers(0, 500)))
-def test_stream_judge(raw, seed):
-    times = np.sort(np.array(raw, dtype=np.int64) * 10)
-    out, last = judge(times, None if seed is None else seed * 10, 300)
-    seen = None if seed is None else seed * 10
-    for t, verdict in zip(times, out):
-        if seen is not None and t < seen:
-            assert verdict == "late"
-        elif seen is None or t == seen or t - seen >= 300:
-            assert verdict == "accepted"
-            seen = t
-        else:
-            assert verdict == "duplicate"
-    assert last == seen
+@given(st.lists(st.lists(st.integers(0, 500), max_size=20), max_size=6))
+def test_stream_judge(batches):
+    """Batches as they arrive, late rows among them, against a log that is asked before each entry."""
+    state: dict[int, list[int]] = {}
+    log: set[int] = set()
+    for raw in batches:
+        times = np.array(raw, dtype=np.int64) * 10
+        accepted = Accepted(300, lambda window: state.get(window, []))
+        got = judge(times, accepted)
+        state.update({w: accepted.known[w] for w in accepted.changed})
+        verdicts = {}
+        for t in sorted(set(times.tolist())):
+            verdicts[t] = "duplicate" if any(t - 300 < a < t for a in log) else "accepted"
+            log |= {t} if verdicts[t] == "accepted" else set()
+        assert list(got) == [verdicts[t] for t in times.tolist()]
+    assert sorted(log) == sorted(t for times in state.values() for t in times)
 
 
 def test_hot_alert_is_followed_exactly(spark):

@@ -36,8 +36,7 @@ from tripwire.schemas import ALERT_KEY
 HOUR = 3600
 FOLD_ROWS = 5_000
 
-# LATE is for streams: earlier than what has been judged already.
-ACCEPTED, DUPLICATE, LATE = "accepted", "duplicate", "late"
+ACCEPTED, DUPLICATE = "accepted", "duplicate"
 
 
 def is_duplicate(
