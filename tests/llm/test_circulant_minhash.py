@@ -110,3 +110,11 @@ def test_components_of_a_long_chain(spark):
     random.Random(3).shuffle(ids)
     links = spark.createDataFrame(list(zip(ids, ids[1:], strict=False)), "a long, b long")
     assert {r.component for r in c.components(links).collect()} == {0}
+
+
+def test_an_id_with_three_texts_joins_all_their_groups(spark):
+    """Documents 1, 2 and 3 are no copies of each other; document 10 has the text of each."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(3)]
+    rows = [(i + 1, texts[i]) for i in range(3)] + [(10, t) for t in texts]
+    found = c.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in found} == {1} and [r.doc_id for r in found if r.kept] == [1]

@@ -68,3 +68,15 @@ def test_ngrams_are_those_of_the_text():
     one = ngrams(np.frombuffer(b"an idiot", np.uint8))
     assert set(ngrams(np.frombuffer(b"idiot", np.uint8))) <= set(one) and not ngrams.seen.any()
     assert len(ngrams(np.zeros(0, np.uint8))) == 0
+
+
+def test_labels_of_other_documents_take_no_training_rows(spark):
+    """A label table with very many ids that are not in the documents, and texts bounded in bytes."""
+    from tripwire.llm.labelled import training_rows
+
+    docs = spark.range(400).selectExpr("id doc_id", "repeat('x', 100) text")
+    labels = spark.range(200_000).selectExpr("id doc_id", "cast(id % 2 as int) toxic")
+    every = training_rows(docs, labels, "toxic", 5, 0, 1_000).collect()
+    assert 290 < len(every) < 350 and {r.label for r in every} == {0, 1}
+    assert len(training_rows(docs, labels, "toxic", 5, 0, 50).collect()) == 50
+    assert len(training_rows(docs, labels, "toxic", 5, 0, 1_000, most_bytes=2_050).collect()) == 20

@@ -43,3 +43,13 @@ def test_run_on_documents(spark):
     assert found.filter("not kept").count() == 0
     assert decontamination.find_leaks(left, spark.read.parquet(f"{DATA}/benchmark.parquet")).count() == 0
     assert secret_scan.find_secrets(left.select("doc_id", "text"), ["doc_id"]).filter("size(spans) > 0").count() == 0
+
+
+def test_different_texts_of_one_id_stay(spark):
+    """Repeated ids, null ones among them: texts are judged apart, copies go whatever their ids."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(4)]
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[0]), (2, texts[1] + " more"), (None, texts[2]), (None, texts[2]), (3, texts[3]), (4, None)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = dict(corpus_pipeline.STAGES)["near-duplicates"](spark, docs, DATA).collect()
+    assert sorted(str((r.doc_id, r.text)) for r in kept) == sorted(
+        str(x) for x in [(1, texts[0]), (1, texts[1]), (None, texts[2]), (3, texts[3]), (4, None)])

@@ -267,8 +267,10 @@ def _near_duplicates(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     links = written(confirm(star_pairs(members), needed, width, percent))
     member_of = join_unique(usable.select("doc_id", "digest"), classes.select("digest", "id"), "digest")
-    several = member_of.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a != b")
-    first = components(links.unionByName(several.select("a", "b")))
+    # An id that stands on several texts is one document: each of its classes is linked to the least.
+    least = member_of.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("most")).filter("a != most")
+    several = join_unique(member_of, least, "doc_id").filter("id != a").select("a", F.col("id").alias("b")).distinct()
+    first = components(links.unionByName(several))
     late = written(compare_blocks(open_blocks(members, first), needed, width, percent))
     found = written(_joined(first, late))
 
