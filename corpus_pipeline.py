@@ -6,9 +6,10 @@ documents lie as Parquet in the shared folder, so that a lost executor repeats
 one stage at most.
 
 Null ids and repeated rows: the quality, decontamination and secret stages judge
-every row by its own text. The near-duplicate stage keeps rows without an id and
-one row for each id that leads its group. Null and empty texts have too few words
-and leave at the first stage. Columns of any name and type are passed on; a
+every row by its own text. The near-duplicate stage does so too: it groups texts,
+whatever their ids, and keeps one row of each group, so that different texts of one
+id, or without one, stay. Null and empty texts have too few words and leave at the
+first stage. Columns of any name and type are passed on; a
 column named ``copies`` is replaced in the last stage.
 """
 
@@ -34,13 +35,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five words, similarity 0.8."""
-    found = circulant_minhash.near_duplicates(docs.select("doc_id", "text"), width=5, percent=80)
-    kept = found.filter("kept and doc_id is not null").select(F.col("doc_id").alias("id")).distinct()
-    rows = pack(docs, docs["doc_id"].alias("id"), F.xxhash64("text").alias("version"))
-    first = F.row_number().over(Window.partitionBy("id").orderBy("version"))
-    leading = rows.filter("id is not null").join(kept, "id", "left_semi").withColumn("nth", first).filter("nth = 1")
-    return leading.select("doc.*").unionByName(docs.filter("doc_id is null"))
+    """One document of each group of near-duplicates: five words, similarity 0.8.
+
+    Rows are known by their id and a hash of their text, the smallest of which leads
+    a group; rows that share both are copies, of which one stays. Texts without a
+    word are in no group.
+    """
+    version = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("version"))
+    found = circulant_minhash.near_duplicates(docs.select(version.alias("doc_id"), "text"), width=5, percent=80)
+    kept = found.filter("kept").select("doc_id.*").distinct().withColumn("key", F.xxhash64("id", "version"))
+    rows = pack(docs, docs["doc_id"].alias("id"), F.xxhash64("text").alias("version")).withColumn("key", F.xxhash64("id", "version"))
+    leading = rows.join(kept.select("key"), "key", "left_semi").withColumn(
+        "nth", F.row_number().over(Window.partitionBy("key").orderBy("key")))
+    return leading.filter("nth = 1").select("doc.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
