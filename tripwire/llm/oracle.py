@@ -138,12 +138,71 @@ ranked as (select p.anchor anchor_id, p.other positive_id,
 select * from ranked where "rank" <= 3"""
 
 
+# Shares in which the rules vote bad, and those in which they vote good.
+QUALITY_VOTES = [
+    ("n_symbols > 0.3 * n_words", "n_symbols < 0.02 * n_words"),
+    ("n_symbol_runs > 0.2 * n_words", "n_symbol_runs < 0.02 * n_words"),
+    ("n_letter_runs < 0.7 * n_words", "n_letter_runs > 0.9 * n_words"),
+    ("n_dup_lines > 0.3 * n_lines", "n_dup_lines = 0"),
+    ("n_repeat_words > 0.2 * n_words", "n_repeat_words < 0.02 * n_words"),
+    ("word_chars < 3 * n_words or word_chars > 10 * n_words", "word_chars > 4 * n_words and word_chars < 6.5 * n_words"),
+    ("n_caps > 0.3 * n_words", "n_caps < 0.05 * n_words"),
+    ("n_marks > 0.3 * n_words", "n_marks < 0.05 * n_words"),
+    ("n_varied < 0.15 * n_words", "n_varied > 0.35 * n_words"),
+    ("n_words >= 50 and n_stops < 0.01 * n_words", "n_stops > 0.05 * n_words"),
+]
+
+
+def _round(k: int) -> str:
+    """One round of expectation-maximisation: what each vote weighs, then how likely good each pattern is."""
+    return f"""start{k} as materialized (select ln((1 + sum(n * good)) / (1 + sum(n * (1 - good)))) odds from good{k - 1}),
+weights{k} as materialized (select place, vote, ln((g + b_g) / (all_g + 100) / ((b + b_b) / (all_b + 100))) weight from (
+ select place, vote, b_g, b_b, g, b, sum(g) over (partition by place) all_g, sum(b) over (partition by place) all_b from (
+  select f.place, f.vote, any_value(b_g) b_g, any_value(b_b) b_b, coalesce(sum(n * good), 0) g, coalesce(sum(n * (1 - good)), 0) b
+  from belief f left join cast_votes c on c.place = f.place and c.vote = f.vote left join good{k - 1} p on p.pattern = c.pattern group by f.place, f.vote))),
+good{k} as materialized (select p.pattern, any_value(p.n) n, 1 / (1 + exp(-(any_value(odds) + sum(weight)))) good
+ from good{k - 1} p cross join start{k} join cast_votes c on c.pattern = p.pattern join weights{k} w on w.place = c.place and w.vote = c.vote group by p.pattern)"""
+
+
+_VOTES = " || ".join(f"case when {bad} then 'b' when {good} then 'g' else '-' end" for bad, good in QUALITY_VOTES)
+_ROUNDS = 30
+
+QUALITY = f"""with texts as materialized (select row_number() over () r, doc_id, coalesce(text, '') text from documents),
+split as materialized (select r, {WORDS.format("text")} w,
+ list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) lines from texts),
+tokens as (select r, unnest(w) word, unnest(range(len(w))) spot from split),
+told as (select r, sum(length(word)) word_chars, count(distinct (spot // 1000, word)) n_varied from tokens group by r),
+followed as (select r, spot, [word, lead(word, 1) over o, lead(word, 2) over o, lead(word, 3) over o, lead(word, 4) over o] five
+ from tokens window o as (partition by r order by spot)),
+again as (select r, spot from followed where five[5] is not null qualify count(*) over (partition by r, five) > 1),
+stretches as (select r, least(5, spot - coalesce(lag(spot) over (partition by r order by spot), spot - 5)) more from again),
+repeated as (select r, sum(more) n_repeat_words from stretches group by r),
+measured as materialized (select t.r, t.doc_id, len(w) n_words, coalesce(word_chars, 0) word_chars,
+ len(regexp_extract_all(text, '[#*$%&|<>]')) n_symbols, len(lines) n_lines, len(lines) - len(list_distinct(lines)) n_dup_lines,
+ coalesce(n_repeat_words, 0) n_repeat_words, coalesce(n_varied, 0) n_varied, len(regexp_extract_all(text, '[A-Z]{{2,}}')) n_caps,
+ len(regexp_extract_all(text, '[#*$%&|<>]+')) n_symbol_runs, len(regexp_extract_all(text, '\\p{{L}}+')) n_letter_runs,
+ len(regexp_extract_all(text, '[!?]')) n_marks, len(regexp_extract_all(text, '\\p{{Ll}}[.,;:?](?:[\\x20\\n]|\\z)')) n_stops
+ from texts t join split s on s.r = t.r left join told on told.r = t.r left join repeated p on p.r = t.r),
+voted as materialized (select *, {_VOTES} pattern from measured),
+good0 as materialized (select pattern, count(*) n, (1 + len(replace(replace(pattern, 'b', ''), '-', ''))) /
+ (2 + len(replace(replace(pattern, 'b', ''), '-', '')) + 3 * len(replace(replace(pattern, 'g', ''), '-', ''))) good from voted group by pattern),
+cast_votes as materialized (select pattern, place, substr(pattern, place, 1) vote from good0, range(1, 11) x(place)),
+belief as materialized (select place, vote, case vote when 'g' then 75 when 'b' then 2.5::double else 22.5::double end b_g,
+ case vote when 'g' then 50 when 'b' then 30 else 20 end b_b from range(1, 11) x(place), (values ('g'), ('b'), ('-')) y(vote)),
+{(","+chr(10)).join(_round(k) for k in range(1, _ROUNDS + 1))}
+select doc_id, cast(n_words as bigint) n_words, cast(word_chars as bigint) word_chars, cast(n_symbols as bigint) n_symbols,
+ cast(n_dup_lines as bigint) n_dup_lines, cast(n_repeat_words as bigint) n_repeat_words,
+ n_words < 10 or 100 * n_repeat_words > 20 * n_words base_failed,
+ not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and good >= 0.5 kept, round(good, 6) posterior from voted v join good{_ROUNDS} p on p.pattern = v.pattern"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_mix_sources": MIX,
         "op4_warc_chunks": ARCHIVES,
         "op6_circulant_minhash": NEAR_DUPLICATES,
         "op7_secret_scan": SECRETS,
+        "op8_quality_rules": QUALITY,
         "op12_conversation_repair": REPAIR,
         "op13_hyperplane_tree": NEGATIVES,
     }

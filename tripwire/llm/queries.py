@@ -69,7 +69,7 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = written(quality_rules.measure(docs, ["doc_id"]))
     judged = quality_rules.judge(measured, quality_rules.fit(measured))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                         "base_failed", "kept", "posterior")
+                         "base_failed", "kept", F.round("posterior", 6).alias("posterior"))
 
 
 def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
