@@ -7,11 +7,13 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tests.builders import tables
+from tests.builders import SESSION, tables
 from tripwire.operators import enrich, gates, outbox
 from tripwire.plans import pipeline
 from tripwire.plans.rules import CATALOGUE
 from tripwire.plans.templates import HANDLED, as_format
+from tripwire.sources.notifications import stream_payloads
+from tripwire.streaming import live
 
 NOW = datetime(2024, 1, 15, 9)
 
@@ -177,6 +179,30 @@ def test_lines_are_numbered_across_partitions(spark):
     assert numbers == sorted(numbers) and len(set(numbers)) == 450
 
 
+def test_lists_kept_apart_reach_the_outbox_of_a_stream(spark, tmp_path):
+    tabs, _ = long_list(spark)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("".join(
+        f"2024-01-15 00:0{k}:00\tord_no, {n}, {alert}, {SESSION}\n"
+        for k, (alert, n) in enumerate([("EXISTING BLANKET", 1), ("NEW BLANKET", 2), ("EXISTING BLANKET", 1)])))
+    root = str(tmp_path / "out")
+    query = live.start_payloads(
+        stream_payloads(spark, str(tmp_path / "in")), lambda: tabs, ROUTING, root, str(tmp_path / "cp"), inline_lists=False)
+    query.awaitTermination()
+    assert query.exception() is None
+    found = {r.alert: r for r in spark.read.parquet(f"{root}/outbox").collect()}
+    assert set(found) == {"EXISTING BLANKET", "NEW BLANKET"}
+    assert "outbox lines of order 1." in found["EXISTING BLANKET"].body
+    lines = spark.read.parquet(f"{root}/outbox_lines").collect()
+    assert sorted(r.line_no for r in lines) == list(range(1, 901))
+    assert {(r.alert, r.ord_no) for r in lines} == {("EXISTING BLANKET", 1)}
+
+
+def test_no_rule_with_a_list_gives_no_lines(spark):
+    tabs, rows = long_list(spark)
+    assert outbox.list_lines(rows, tabs, {"NEW BLANKET"}).collect() == []
+
+
 def test_a_repeated_packing_slip_gives_one_message(spark):
     tabs = shop(spark)
     tabs["invoicing"] = tables(spark, invoicing=[

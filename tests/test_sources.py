@@ -99,6 +99,32 @@ def test_live_run_from_payloads_leaves_no_tables(spark, tmp_path):
     assert set(Path(shared_folder(spark).removeprefix("file:")).glob("**/*.parquet")) == before
 
 
+def test_sources_of_one_root_ask_each_others_log(spark, tmp_path):
+    """The same alert from two sources is logged and mailed once; a repeated batch comes to the same result."""
+    at = {"mail": [(0, 1), (70, 1), (0, 3)], "desk": [(5, 1), (75, 1), (6, 2)]}
+    tabs = tables(spark, order_header=[header(n, "A") for n in (1, 2, 3)])
+    root = str(tmp_path / "out")
+    for source, rows in at.items():
+        (tmp_path / source).mkdir()
+        lines = [f"{DAY + timedelta(minutes=m)}\tord_no, {n}, NEW BLANKET, {SESSION}" for m, n in rows]
+        (tmp_path / source / "a.txt").write_text("\n".join(lines) + "\n")
+
+    def run(source):
+        live.process_payloads(read_payloads(spark, str(tmp_path / source)), 0, source, tabs, Routing(), root)
+
+    def logged():
+        rows = read_log(spark, f"{root}/alerts").collect()
+        return sorted(((r.time_stamp - DAY).seconds // 60, r.reference) for r in rows)
+
+    run("mail")
+    run("desk")
+    assert logged() == [(0, "1"), (0, "3"), (6, "2"), (70, "1")]
+    assert sorted(r.subject for r in spark.read.parquet(f"{root}/outbox").collect()) == [
+        "New blanket order 1", "New blanket order 1", "New blanket order 2", "New blanket order 3"]
+    run("desk")
+    assert len(logged()) == 4
+
+
 def test_a_session_without_a_shared_folder_is_told(spark):
     class Context:
         master = "spark://somewhere"

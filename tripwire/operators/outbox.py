@@ -215,6 +215,8 @@ def list_lines(alerts: DataFrame, tables: Tables, names: set[str] | None = None)
         if names is None or alert in names:
             orders = alerts.filter(F.col("alert") == alert).select("ord_no")
             found.append(build(tables, orders).withColumn("alert", F.lit(alert)))
+    if not found:
+        return alerts.sparkSession.createDataFrame([], "alert string, ord_no long, line_no long, text string")
     empty = {c: F.lit(None).cast("string" if "part" in c else "long") for c in LINE_SORT}
     filled = [f.withColumns({c: e for c, e in empty.items() if c not in f.columns}).select(
         "alert", "ord_no", *LINE_SORT, "text") for f in found]

@@ -12,7 +12,7 @@ from tripwire.functions.frames import written
 from tripwire.operators.enrich import enrich
 from tripwire.operators.gates import confirm_multipliers, gate_by_columns
 from tripwire.operators.kits import with_lines_of
-from tripwire.operators.outbox import LISTINGS, Routing, outbox
+from tripwire.operators.outbox import LISTINGS, Routing, list_lines, outbox
 from tripwire.operators.payload import parse_payload, read_session
 from tripwire.operators.suppress import ACCEPTED, suppress
 from tripwire.plans.evaluate import evaluate_all
@@ -26,11 +26,16 @@ ALERT_COLUMNS = ["time_stamp", "alert", "ref_type", "reference", "user_name", "s
 
 @dataclass
 class Outcome:
-    """``alerts`` holds every alert with its disposition; ``log`` those to log."""
+    """``alerts`` holds every alert with its disposition; ``log`` those to log.
+
+    ``lines`` holds the messages' lists as rows where these are kept apart, and
+    is None where each list is a text inside its message.
+    """
 
     alerts: DataFrame
     log: DataFrame
     messages: DataFrame
+    lines: DataFrame | None = None
 
 
 def raise_alerts(
@@ -51,7 +56,7 @@ def kinds(alerts: list[str] | None = None, tables: list[str] | None = None) -> t
 
 def deliver(
     logged: DataFrame, tables: Tables, routing: Routing,
-    names: set[str] | None = None, refs: set[str] | None = None,
+    names: set[str] | None = None, refs: set[str] | None = None, inline_lists: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Enriched alerts with the disposition their gates give them, and the messages."""
     enriched = written(gate_by_columns(enrich(logged, tables, refs)))
@@ -59,12 +64,20 @@ def deliver(
         listed = enriched.filter(F.col("alert").isin(list(LISTINGS)))
         tables = with_lines_of(tables, listed.select("ord_no"))
     gated = confirm_multipliers(enriched, tables, names)
-    return gated, outbox(gated.filter(F.col("disposition") == ACCEPTED), tables, routing, names=names)
+    return gated, outbox(gated.filter(F.col("disposition") == ACCEPTED), tables, routing, names, inline_lists)
+
+
+def lists(gated: DataFrame, tables: Tables, names: set[str] | None = None) -> DataFrame:
+    """The lists of the accepted alerts, as rows, whatever their length."""
+    listed = gated.filter((F.col("disposition") == ACCEPTED) & F.col("alert").isin(list(LISTINGS)))
+    if names is None or names & set(LISTINGS):
+        tables = with_lines_of(tables, listed.select("ord_no"))
+    return list_lines(listed, tables, names)
 
 
 def handle(
     alerts: DataFrame, tables: Tables, routing: Routing, log: DataFrame | None = None,
-    names: set[str] | None = None, refs: set[str] | None = None,
+    names: set[str] | None = None, refs: set[str] | None = None, inline_lists: bool = True,
 ) -> Outcome:
     """Suppress, enrich, gate and render alerts.
 
@@ -77,29 +90,34 @@ def handle(
     unreadable = alerts.filter("malformed").drop("malformed").withColumn("disposition", F.lit(MALFORMED))
     judged = written(suppress(alerts.filter(~F.col("malformed")).drop("malformed"), log=log))
     logged = judged.filter(F.col("disposition") == ACCEPTED).drop("disposition")
-    gated, messages = deliver(logged, tables, routing, names, refs)
+    gated, messages = deliver(logged, tables, routing, names, refs, inline_lists)
     refused = judged.filter(F.col("disposition") != ACCEPTED)
     return Outcome(
         alerts=unreadable.unionByName(refused).unionByName(gated.select(*ALERT_COLUMNS, "disposition")),
         log=logged,
         messages=messages,
+        lines=None if inline_lists else lists(gated, tables, names),
     )
 
 
 def run(
     changes: dict[str, DataFrame], tables: Tables, routing: Routing, log: DataFrame | None = None,
-    history: Mapping[str, DataFrame] | None = None,
+    history: Mapping[str, DataFrame] | None = None, inline_lists: bool = True,
 ) -> Outcome:
-    """The whole pipeline over change feeds and snapshots; ``history`` as in ``evaluate``."""
+    """The whole pipeline over change feeds and snapshots; ``history`` as in ``evaluate``.
+
+    Without ``inline_lists`` no list has to fit into one row: see ``Outcome.lines``.
+    """
     names, refs = kinds(tables=list(changes))
-    return handle(raise_alerts(changes, tables, history), tables, routing, log, names, refs)
+    return handle(raise_alerts(changes, tables, history), tables, routing, log, names, refs, inline_lists)
 
 
 def run_payloads(
-    payloads: DataFrame, tables: Tables, routing: Routing, log: DataFrame | None = None
+    payloads: DataFrame, tables: Tables, routing: Routing, log: DataFrame | None = None,
+    inline_lists: bool = True,
 ) -> Outcome:
     """The pipeline from notification payloads: columns time_stamp and payload."""
     alerts = parse_payload(payloads)
     if "change_seq" not in alerts.columns:
         alerts = alerts.withColumn("change_seq", F.lit(None).cast("long"))
-    return handle(alerts, tables, routing, log)
+    return handle(alerts, tables, routing, log, inline_lists=inline_lists)

@@ -12,6 +12,10 @@ from tripwire.schemas import ALERT_LOG
 LOG_COLUMNS = [f.name for f in ALERT_LOG]
 
 
+def batch_folder(path: str, source: str, batch_id: int) -> str:
+    return f"{path}/source={source}/batch_id={batch_id}"
+
+
 def write_batch(rows: DataFrame, path: str, source: str, batch_id: int) -> None:
     """Write one batch's rows so that writing it again replaces them.
 
@@ -23,10 +27,15 @@ def write_batch(rows: DataFrame, path: str, source: str, batch_id: int) -> None:
         rows.withColumn("alert_date", F.to_date("time_stamp"))
         .hint("rebalance", "alert_date")
         .write.mode("overwrite").option("partitionOverwriteMode", "static")
-        .partitionBy("alert_date").parquet(f"{path}/source={source}/batch_id={batch_id}")
+        .partitionBy("alert_date").parquet(batch_folder(path, source, batch_id))
     )
 
 
+def write_lines(lines: DataFrame, path: str, source: str, batch_id: int) -> None:
+    """Write the lists of one batch's messages, which replaces those of an earlier attempt."""
+    lines.write.mode("overwrite").parquet(batch_folder(path, source, batch_id))
+
+
 def append_alerts(accepted: DataFrame, path: str, source: str, batch_id: int) -> None:
     """Add accepted alerts to the log."""
     write_batch(accepted.select(*LOG_COLUMNS), path, source, batch_id)
@@ -34,9 +43,13 @@ def append_alerts(accepted: DataFrame, path: str, source: str, batch_id: int) ->
 
 def read_log(
     spark: SparkSession, path: str, source: str | None = None,
-    before_batch: int | None = None, since: datetime | None = None,
+    before_batch: int | None = None, since: datetime | None = None, every_source: bool = False,
 ) -> DataFrame:
-    """Logged alerts; empty where no log exists. The limits prune partitions."""
+    """Logged alerts; empty where no log exists. The limits prune partitions.
+
+    ``every_source`` takes the other sources' alerts whatever their batch, and
+    ``before_batch`` then limits the alerts of ``source`` alone.
+    """
     schema = ", ".join(
         [f"{f.name} {f.dataType.simpleString()}" for f in ALERT_LOG]
         + ["source string", "batch_id long", "alert_date date"]
@@ -44,10 +57,12 @@ def read_log(
     if not _exists(spark, path):
         return spark.createDataFrame([], schema).select(*LOG_COLUMNS)
     log = spark.read.schema(schema).parquet(path)
+    own, earlier = F.lit(True), F.lit(True)
     if source is not None:
-        log = log.filter(F.col("source") == source)
+        own = F.col("source") == source
     if before_batch is not None:
-        log = log.filter(F.col("batch_id") < before_batch)
+        earlier = F.col("batch_id") < before_batch
+    log = log.filter(~own | earlier if every_source else own & earlier)
     if since is not None:
         log = log.filter((F.col("alert_date") >= since.date()) & (F.col("time_stamp") >= F.lit(since).cast("timestamp_ntz")))
     return log.select(*LOG_COLUMNS)
