@@ -93,6 +93,14 @@ def test_blocks_find_what_stars_miss(spark, monkeypatch):
     monkeypatch.setattr(c, "BLOCK", 20)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert result(df, 4) == brute(rows, 4)
+    nested = c.near_duplicates(df.selectExpr("struct(doc_id as id, xxhash64(text) as version) as doc_id", "text"), 4, 80).collect()
+    groups = {}
+    for r in nested:
+        groups.setdefault(r.component_id.id, set()).add(r.doc_id.id)
+    want = {}
+    for r in c.near_duplicates(df, 4, 80).collect():
+        want.setdefault(r.component_id, set()).add(r.doc_id)
+    assert groups == want and sum(r.kept for r in nested) == len(want)
 
 
 def test_one_id_in_several_classes(spark):

@@ -178,11 +178,12 @@ def compare_blocks(blocks: DataFrame, docs: DataFrame, width: int, percent: int)
 
     def run(table: pa.Table) -> pa.Table:
         asks = table.column("asks").to_numpy(zero_copy_only=False)
-        ids, groups = table.column("id").to_pylist(), table.column("component").to_pylist()
+        # An id may be a struct, which reads as a dict.
+        groups = [tuple(g.values()) if isinstance(g, dict) else g for g in table.column("component").to_pylist()]
         sets = [shingles(data, width) for data in texts(table.column("text"))]
-        asked = [i for i in range(len(ids)) if not asks[i]]
-        links: dict[tuple, object] = {}
-        if asked:
+        asked = np.flatnonzero(~asks)
+        links: dict[tuple, int] = {}
+        if len(asked):
             sizes = np.array([len(sets[i]) for i in asked])
             every = np.concatenate([sets[i] for i in asked])
             order = np.argsort(every, kind="stable")
@@ -196,9 +197,10 @@ def compare_blocks(blocks: DataFrame, docs: DataFrame, width: int, percent: int)
                 for i in np.flatnonzero(alike):
                     other = asked[i]
                     if groups[other] != groups[q]:
-                        links.setdefault((ids[q], groups[other]), ids[other])
-        a, b = [x for x, _ in links], list(links.values())
-        return pa.table({"a": pa.array(a, table.schema.field("id").type), "b": pa.array(b, table.schema.field("id").type)})
+                        links.setdefault((q, groups[other]), other)
+        ids = table.column("id")
+        return pa.table({"a": ids.take(pa.array([q for q, _ in links], pa.int64())),
+                         "b": ids.take(pa.array(list(links.values()), pa.int64()))})
 
     whole = join_unique(blocks, docs, "id")
     return whole.groupBy("bucket", "part", "against").applyInArrow(run, f"a {kind}, b {kind}").distinct()
