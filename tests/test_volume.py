@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from checks.star_mapping import MAPPING, VIEWS, StarTables
 from tripwire.functions.frames import TASK_BYTES, shared_folder, tune, written
+from tripwire.operators import enrich
 from tripwire.operators.kits import LINE_COLUMNS, with_lines_of
 
 
@@ -58,3 +59,26 @@ def test_written_tables_are_packed_and_tasks_are_small_unless_the_session_says(s
         assert tune(spark).conf.get(key) == "3m"
     finally:
         spark.conf.set(key, was or value)
+
+
+def test_references_go_through_tables_alone_and_once(spark, monkeypatch):
+    asked = []
+
+    def spy(self, alerts, tables, call=enrich.Lookup.__call__):
+        asked.append(alerts)
+        return call(self, alerts, tables)
+
+    monkeypatch.setattr(enrich.Lookup, "__call__", spy)
+    tables = {
+        "order_header": spark.createDataFrame([(1, 7), (2, 8), (2, 9)], "ord_no long, cli_id long"),
+        "client": spark.createDataFrame([(7, "seven"), (8, "eight"), (9, "nine")], "cli_id long, cli_name1 string"),
+    }
+    alerts = spark.createDataFrame(
+        [("ord_no", "1", "a"), ("ord_no", "1", "b"), ("ord_no", "2", "a"), ("ord_no", "3", "a"), ("ord_no", "no number", "a"), (None, "1", "a")],
+        "ref_type string, reference string, alert string")
+    got = enrich.enrich(alerts, tables, {"ord_no"}).select("reference", "alert", "ord_no", "client_name")
+    # A key that stands twice in its table gives two rows, as a join does.
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([
+        ("1", "a", 1, "seven"), ("1", "b", 1, "seven"), ("2", "a", 2, "eight"), ("2", "a", 2, "nine"), ("3", "a", 3, None),
+        ("no number", "a", None, None), ("1", "a", None, None)], key=str)
+    assert asked[0].columns == ["ord_no"] and sorted(r.ord_no for r in asked[0].collect()) == [1, 2, 3]
