@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from checks.star_mapping import MAPPING, VIEWS, StarTables
+from tests.builders import table
 from tripwire.functions.frames import TASK_BYTES, shared_folder, tune, written
-from tripwire.operators import enrich
+from tripwire.operators import enrich, suppress
 from tripwire.operators.kits import LINE_COLUMNS, with_lines_of
 
 
@@ -82,3 +84,29 @@ def test_references_go_through_tables_alone_and_once(spark, monkeypatch):
         ("1", "a", 1, "seven"), ("1", "b", 1, "seven"), ("2", "a", 2, "eight"), ("2", "a", 2, "nine"), ("3", "a", 3, None),
         ("no number", "a", None, None), ("1", "a", None, None)], key=str)
     assert asked[0].columns == ["ord_no"] and sorted(r.ord_no for r in asked[0].collect()) == [1, 2, 3]
+
+
+def test_lone_alerts_meet_no_key(spark, monkeypatch):
+    met = []
+
+    def spy(points, *args, call=suppress.accepted_times):
+        met.append(points.count())
+        return call(points, *args)
+
+    monkeypatch.setattr(suppress, "accepted_times", spy)
+    noon = datetime(2024, 1, 1, 12)
+    events = [(n, f"lone{n}", noon) for n in range(50)] + [(50, "twin", noon), (51, "twin", noon), (52, None, noon), (53, None, noon + timedelta(minutes=1))]
+    events += [(60 + n, "again", noon + timedelta(minutes=40 * n)) for n in range(4)]
+    frame = spark.createDataFrame(events, "n int, k string, t timestamp_ntz")
+    got = {r.n: r.disposition for r in suppress.suppress(frame, key=["k"], ts="t").collect()}
+    assert len(got) == len(events) and {n for n, d in got.items() if d != "accepted"} == {61, 63}
+    assert met == [4]
+    log = spark.createDataFrame([("lone3", noon - timedelta(minutes=5)), ("again", noon - timedelta(minutes=30))], "k string, t timestamp_ntz")
+    got = {r.n: r.disposition for r in suppress.suppress(frame, key=["k"], ts="t", log=log).collect()}
+    assert {n for n, d in got.items() if d != "accepted"} == {3, 60, 62}
+
+
+def test_reports_get_the_lines_they_read(spark):
+    lines = table(spark, "order_line", {"ord_no": 1, "orl_id": 10}, {"ord_no": 2, "orl_id": 20})
+    cut = with_lines_of({"order_line": lines}, spark.createDataFrame([(1,)], "ord_no long"))["order_line"]
+    assert cut.columns == LINE_COLUMNS and [r.orl_id for r in cut.collect()] == [10]

@@ -19,6 +19,10 @@ so the lowest and highest time per key and bucket - combined before the shuffle
   another, double the followed path each round.
 
 All three are exact; ``fold_rows`` only chooses between the last two.
+
+Most alerts are raised once. They are told by a hash of the key whose rows all
+have one time: eight bytes and a time are shuffled for each row, and only rows
+whose hash has several times meet the steps above with their key's texts.
 """
 
 from __future__ import annotations
@@ -94,15 +98,21 @@ def suppress(
     if log is not None:
         known = join_unique(log, candidates.select(*key).distinct(), key, "left_semi")
         rows = is_duplicate(candidates, known, key, ts, window_seconds).withColumnRenamed("is_duplicate", "blocked")
-    rows = rows.withColumn("at", wall_micros(F.col(ts)))
-    points = rows.filter(comparable & ~F.col("blocked")).select(*key, "at")
-    accepted = accepted_times(points, key, width, fold_rows).withColumn("is_accepted", F.lit(True))
-    passed = ~comparable | (F.coalesce("is_accepted", F.lit(False)) & ~F.col("blocked"))
-    return (
-        join_unique(rows, accepted, [*key, "at"], "left")
-        .withColumn("disposition", F.when(passed, ACCEPTED).otherwise(DUPLICATE))
-        .select(*candidates.columns, "disposition")
+    rows = rows.withColumn("at", wall_micros(F.col(ts))).withColumn("key_hash", F.xxhash64(*key))
+    eligible = comparable & ~F.col("blocked")
+    repeated = written(
+        rows.filter(eligible).groupBy("key_hash").agg(F.min("at").alias("low"), F.max("at").alias("high"))
+        .filter("low < high").select("key_hash", F.lit(True).alias("repeats"))
     )
+    marked = join_unique(rows, repeated, "key_hash", "left")
+    contested = marked.filter("repeats")
+    accepted = accepted_times(contested.filter(eligible).select(*key, "at"), key, width, fold_rows)
+    settled = join_unique(contested, accepted.withColumn("is_accepted", F.lit(True)), [*key, "at"], "left")
+    alone = marked.filter(F.col("repeats").isNull()).withColumn("is_accepted", F.lit(True))
+    passed = ~comparable | (F.coalesce("is_accepted", F.lit(False)) & ~F.col("blocked"))
+    return alone.unionByName(settled).withColumn(
+        "disposition", F.when(passed, ACCEPTED).otherwise(DUPLICATE)
+    ).select(*candidates.columns, "disposition")
 
 
 def accepted_times(points: DataFrame, key: list[str], width: int, fold_rows: int = FOLD_ROWS) -> DataFrame:
