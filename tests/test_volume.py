@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from checks.star_mapping import MAPPING, VIEWS, StarTables
 from tests.builders import table
 from tripwire.functions.frames import TASK_BYTES, shared_folder, tune, written
-from tripwire.operators import enrich, suppress
+from tripwire.operators import counted, enrich, suppress
 from tripwire.operators.kits import LINE_COLUMNS, with_lines_of
 
 
@@ -110,3 +110,11 @@ def test_reports_get_the_lines_they_read(spark):
     lines = table(spark, "order_line", {"ord_no": 1, "orl_id": 10}, {"ord_no": 2, "orl_id": 20})
     cut = with_lines_of({"order_line": lines}, spark.createDataFrame([(1,)], "ord_no long"))["order_line"]
     assert cut.columns == LINE_COLUMNS and [r.orl_id for r in cut.collect()] == [10]
+
+
+def test_conditions_count_in_longs_and_numbers_add_up_in_decimals(spark):
+    lines = table(spark, "order_line", *[{"ord_no": 1, "orl_id": 10 + n, "orl_req_dt": date(9999, 12, 31)} for n in range(3)])
+    state = counted.LINES.state({"order_line": lines})
+    kinds = dict(state.dtypes)
+    assert kinds["lines"] == kinds["zero"] == "bigint" and kinds["days"] == kinds["days_squared"] == "decimal(38,0)"
+    assert [r.dates_differ for r in counted.LINES.as_facts(state).collect()] == [False]
