@@ -36,9 +36,9 @@ def _kept_tables(spark) -> set[str]:
 
 def test_tables_derived_row_by_row_are_not_written_again(spark, star):
     before = _kept_tables(spark)
-    lots, orders = star.flat("erp_planning_lot_detailed"), star.flat("erp_order_header")
-    assert orders.count() == 40 and lots.count() == star.flat("erp_order_line").count() > 280
-    assert lots.inputFiles() and set(lots.inputFiles()) == set(star.flat("erp_order_line").inputFiles())
+    billed, invoices = star.flat("erp_invoicing_line"), star.flat("erp_invoicing")
+    assert invoices.count() == 40 and billed.count() == star.flat("erp_order_line").count() > 280
+    assert billed.inputFiles() and set(billed.inputFiles()) == set(star.flat("erp_order_line").inputFiles())
     assert _kept_tables(spark) - before <= set(MAPPING) - VIEWS
 
 
