@@ -85,6 +85,13 @@ def test_all_order_rules_shuffle_less_than_once_per_rule_and_table(spark, no_bro
     assert plan.count("Exchange hashpartitioning") <= 60
 
 
+def test_no_plan_holds_the_stages_of_many_facts(spark, no_broadcast):
+    """Of seven facts each is computed by itself; what is left is to join their rows. There were 55 shuffles in one plan."""
+    star, tabs = open_tables(spark, SF)
+    plan = plan_of(evaluate(star.changes("order_header"), "order_header", tabs))
+    assert plan.count("Exchange hashpartitioning") <= 16
+
+
 def skewed_shop(spark, n):
     """A shop where one order, client, part and kit line hold a third of all lines."""
     tabs = tables(spark)
