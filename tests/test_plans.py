@@ -11,7 +11,8 @@ from checks.queries import SNAPSHOTS, open_tables
 from tests.builders import SESSION, tables
 from tripwire.operators import enrich, facts, kits
 from tripwire.operators.suppress import _chains, accepted_times
-from tripwire.plans.evaluate import evaluate
+from tripwire.plans.evaluate import evaluate, evaluate_all
+from tripwire.plans.pipeline import raise_alerts
 from tripwire.plans.rules import CATALOGUE
 
 SF = "/root/testdata/sf0.001"
@@ -92,6 +93,15 @@ def test_no_plan_holds_the_stages_of_many_facts(spark, no_broadcast):
     assert plan.count("Exchange hashpartitioning") <= 16
 
 
+@pytest.mark.parametrize("build", [evaluate_all, raise_alerts])
+def test_no_plan_holds_the_rules_of_several_tables(spark, no_broadcast, build):
+    """The alerts of each table are there before the next table is looked at."""
+    star, tabs = open_tables(spark, SF)
+    feeds = {name: star.changes(name) for name in ("order_header", "invoicing", "planning_lot_detailed")}
+    found = build(feeds, tabs)
+    assert "Exchange" not in plan_of(found) and found.count() > 0
+
+
 def skewed_shop(spark, n):
     """A shop where one order, client, part and kit line hold a third of all lines."""
     tabs = tables(spark)

@@ -41,8 +41,11 @@ class Outcome:
 def raise_alerts(
     changes: dict[str, DataFrame], tables: Tables, history: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
-    """Alerts of all feeds with user, station and ``malformed``."""
-    return read_session(evaluate_all(changes, tables, history)).withColumnRenamed("commit_ts", "time_stamp")
+    """Alerts of all feeds with user, station and ``malformed``, as written tables."""
+    def finish(alerts: DataFrame) -> DataFrame:
+        return read_session(alerts).withColumnRenamed("commit_ts", "time_stamp").select(*ALERT_COLUMNS, "malformed")
+
+    return evaluate_all(changes, tables, history, finish)
 
 
 def kinds(alerts: list[str] | None = None, tables: list[str] | None = None) -> tuple[set[str], set[str]]:
@@ -77,16 +80,17 @@ def lists(gated: DataFrame, tables: Tables, names: set[str] | None = None) -> Da
 
 def handle(
     alerts: DataFrame, tables: Tables, routing: Routing, log: DataFrame | None = None,
-    names: set[str] | None = None, refs: set[str] | None = None, inline_lists: bool = True,
+    names: set[str] | None = None, refs: set[str] | None = None, inline_lists: bool = True, stored: bool = False,
 ) -> Outcome:
     """Suppress, enrich, gate and render alerts.
 
     An alert is logged before the gates: a gated one still suppresses its
     repeats. The judged alerts are written once, as the log, the dispositions
     and the messages all read them. ``names`` and ``refs`` hold what can occur;
-    leave them out for alerts of unknown origin.
+    leave them out for alerts of unknown origin. ``stored`` alerts are written already.
     """
-    alerts = written(alerts.select(*ALERT_COLUMNS, "malformed"))
+    if not stored:
+        alerts = written(alerts.select(*ALERT_COLUMNS, "malformed"))
     unreadable = alerts.filter("malformed").drop("malformed").withColumn("disposition", F.lit(MALFORMED))
     judged = written(suppress(alerts.filter(~F.col("malformed")).drop("malformed"), log=log))
     logged = judged.filter(F.col("disposition") == ACCEPTED).drop("disposition")
@@ -109,7 +113,7 @@ def run(
     Without ``inline_lists`` no list has to fit into one row: see ``Outcome.lines``.
     """
     names, refs = kinds(tables=list(changes))
-    return handle(raise_alerts(changes, tables, history), tables, routing, log, names, refs, inline_lists)
+    return handle(raise_alerts(changes, tables, history), tables, routing, log, names, refs, inline_lists, stored=True)
 
 
 def run_payloads(
