@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from checks.queries import SNAPSHOTS, open_tables
 from tests.builders import SESSION, tables
 from tripwire.operators import enrich, facts, kits
+from tripwire.operators.outbox import Routing
 from tripwire.operators.suppress import _chains, accepted_times
 from tripwire.plans.evaluate import evaluate, evaluate_all
-from tripwire.plans.pipeline import raise_alerts
+from tripwire.plans.pipeline import deliver, raise_alerts
 from tripwire.plans.rules import CATALOGUE
 
 SF = "/root/testdata/sf0.001"
@@ -102,6 +103,15 @@ def test_no_plan_holds_the_rules_of_several_tables(spark, no_broadcast, build):
     assert "Exchange" not in plan_of(found) and found.count() > 0
 
 
+def test_the_pipeline_s_steps_plan_one_at_a_time(spark, no_broadcast):
+    """Alerts with their details are written by kind of reference; messages join written lists."""
+    star, tabs = open_tables(spark, SF)
+    logged = raise_alerts({"order_header": star.changes("order_header")}, tabs).drop("malformed")
+    gated, messages = deliver(logged, tabs, Routing())
+    assert "Exchange" not in plan_of(gated)
+    assert plan_of(messages).count("Exchange hashpartitioning") <= 6
+
+
 def skewed_shop(spark, n):
     """A shop where one order, client, part and kit line hold a third of all lines."""
     tabs = tables(spark)

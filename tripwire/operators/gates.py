@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripwire.functions.frames import join_unique
+from tripwire.functions.frames import join_unique, written
 from tripwire.operators.kits import confirmed_multiplier_orders
 from tripwire.operators.suppress import ACCEPTED
 from tripwire.plans.templates import HANDLED
@@ -57,11 +57,11 @@ def gate_multipliers(enriched: DataFrame, tables: Tables) -> DataFrame:
 
 
 def confirm_multipliers(gated: DataFrame, tables: Tables, names: set[str] | None = None) -> DataFrame:
-    """Judge component-multiplier alerts again, by their order's lines."""
+    """Judge component-multiplier alerts again, by their order's lines; written, as several readers follow."""
     if names is not None and MULTIPLIER not in names:
         return gated
     is_multiplier = F.coalesce(F.col("alert") == MULTIPLIER, F.lit(False))
-    judged = gate_multipliers(gated.filter(is_multiplier).drop("disposition"), tables)
+    judged = written(gate_multipliers(gated.filter(is_multiplier).drop("disposition"), tables))
     return gated.filter(~is_multiplier).unionByName(judged)
 
 

@@ -61,8 +61,12 @@ def deliver(
     logged: DataFrame, tables: Tables, routing: Routing,
     names: set[str] | None = None, refs: set[str] | None = None, inline_lists: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """Enriched alerts with the disposition their gates give them, and the messages."""
-    enriched = written(gate_by_columns(enrich(logged, tables, refs)))
+    """Enriched alerts with the disposition their gates give them, and the messages.
+
+    Each kind of reference, the multipliers' gate and each kind of list are written by themselves, so that
+    the driver plans one at a time.
+    """
+    enriched = enrich(logged, tables, refs, lambda part: written(gate_by_columns(part)))
     if names is None or names & set(LISTINGS):
         listed = enriched.filter(F.col("alert").isin(list(LISTINGS)))
         tables = with_lines_of(tables, listed.select("ord_no"))
