@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from checks.queries import SNAPSHOTS, open_tables
 from tests.builders import SESSION, tables
+from tripwire.functions.frames import tune
 from tripwire.operators import enrich, facts, kits
 from tripwire.operators.outbox import Routing
 from tripwire.operators.suppress import _chains, accepted_times
@@ -112,6 +113,18 @@ def test_the_pipeline_s_steps_plan_one_at_a_time(spark, no_broadcast):
     assert plan_of(messages).count("Exchange hashpartitioning") <= 6
 
 
+def test_references_are_followed_before_alerts_move(spark, no_broadcast):
+    """The shuffles of four lookups are over when the alerts meet what they found."""
+    star, tabs = open_tables(spark, SF)
+    alerts = star.changes("purchase_order_line").select(F.col("new.pul_id").alias("pul_id"), "app_name")
+    plan = plan_of(enrich.look_up_references(alerts, tabs, "pul_id", *enrich.BY_REFERENCE["pul_id"]))
+    assert plan.count("Exchange hashpartitioning") <= 2
+
+
+def test_shuffles_go_with_their_query(spark):
+    assert tune(spark).conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+
+
 def skewed_shop(spark, n):
     """A shop where one order, client, part and kit line hold a third of all lines."""
     tabs = tables(spark)
