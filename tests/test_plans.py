@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from checks.queries import SNAPSHOTS, open_tables
+from checks.queries import SNAPSHOTS, line_feed, open_tables
 from tests.builders import SESSION, tables
 from tripwire.functions.frames import tune
 from tripwire.operators import enrich, facts, kits
@@ -121,6 +121,13 @@ def test_references_are_followed_before_alerts_move(spark, no_broadcast):
     assert plan.count("Exchange hashpartitioning") <= 2
 
 
+def test_counts_as_of_a_change_are_written_step_by_step(spark, no_broadcast):
+    star, tabs = open_tables(spark, SF)
+    feed = star.changes("order_header")
+    plan = plan_of(evaluate(feed, "order_header", tabs, ["NOT RESERVED", "TRUCK SHIPMENT"], history={"order_line": line_feed(star)}))
+    assert "Window" not in plan and plan.count("Exchange hashpartitioning") <= 8
+
+
 def test_shuffles_go_with_their_query(spark):
     assert tune(spark).conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
 
